@@ -42,15 +42,20 @@ def left_join_big_right(left: DataFrame, right: DataFrame, keys: list[str]) -> D
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 
-def regulation_documents(regulations: DataFrame, documents: DataFrame) -> DataFrame:
-    """Regulations with the documents of their jurisdiction that name their code."""
-    docs = documents.select(
+def document_codes(documents: DataFrame) -> DataFrame:
+    """Documents that name a regulation, with the code taken out of the metadata:
+    containment of ``{"regulation_code": code}`` becomes equality of a column."""
+    return documents.select(
+        "document_id",
+        "entity_id",
         "jurisdiction",
         F.get_json_object("metadata", "$.regulation_code").alias("code"),
-        F.col("document_id"),
-        F.col("entity_id"),
     ).where(F.col("code").isNotNull())
-    return left_join_big_right(regulations, docs, ["jurisdiction", "code"])
+
+
+def regulation_documents(regulations: DataFrame, documents: DataFrame) -> DataFrame:
+    """Regulations with the documents of their jurisdiction that name their code."""
+    return left_join_big_right(regulations, document_codes(documents), ["jurisdiction", "code"])
 
 
 def resolve_entity(documents: DataFrame, entities: DataFrame) -> DataFrame:

@@ -53,11 +53,12 @@ def detect(headers: DataFrame) -> DataFrame:
     keys = F.transform("headers", lambda h: header_key(h))
     n = F.size("headers")
     scored = headers.withColumn("keys", keys)
+    pairs = F.zip_with("headers", "keys", lambda h, k: F.struct(h.alias("h"), k.alias("k")))
     best = F.struct(F.lit(0.0).alias("score"), F.lit("unknown").alias("schema"), F.array().cast("array<string>").alias("matched"))
     for name, words in VOCABULARY.items():
         known = F.array(*[F.lit(w) for w in words])
         hit = F.transform(
-            F.filter(F.arrays_zip(F.col("headers").alias("h"), F.col("keys").alias("k")), lambda x: F.array_contains(known, x["k"])),
+            F.filter(pairs, lambda x: F.array_contains(known, x["k"])),
             lambda x: x["h"],
         )
         score = F.when(n > 0, F.size(hit).cast("double") / n).otherwise(F.lit(0.0))
