@@ -67,7 +67,7 @@ class Views:
             F.col("c_name").alias("name"),
             F.when(k % 10 != 0, F.concat(F.lit("TAX-"), text_of(k))).alias("tax_id"),
             F.concat(F.lit("N"), F.char(F.lit(65) + F.col("c_nationkey"))).alias("country_code"),
-            F.when(k % 7 != 0, ((F.col("c_acctbal") + 1000) / 110).cast("decimal(5,2)")).alias("risk_score"),
+            F.when(k % 7 != 0, risk_score(F.col("c_acctbal"))).alias("risk_score"),
             F.create_map(F.lit("segment"), F.col("c_mktsegment")).alias("metadata"),
         )
 
@@ -404,6 +404,14 @@ def external_id(k: Column) -> Column:
     return F.concat(pick(PREFIXES, k % 3), text_of(k))
 
 
+def risk_score(balance: Column) -> Column:
+    """(balance + 1000) / 110 to two digits, computed on whole cents so that ties
+    round the same everywhere."""
+    cents = F.round(balance * 100).cast("bigint") + 100000
+    hundredths = F.floor((cents * 2 + 110) / F.lit(220).cast("decimal(10,0)"))
+    return (hundredths.cast("decimal(10,0)") / F.lit(100).cast("decimal(10,0)")).cast("decimal(5,2)")
+
+
 def accession(k: Column, i: Column) -> Column:
     return F.concat(F.lpad(text_of(k), 10, "0"), F.lit("-24-"), F.lpad(text_of(i), 6, "0"))
 
@@ -427,7 +435,7 @@ VIEW_SQL = {
         SELECT c_custkey AS counterparty_id, {sql_external_id('c_custkey')} AS external_id, c_name AS name,
                CASE WHEN c_custkey % 10 <> 0 THEN 'TAX-' || c_custkey::VARCHAR END AS tax_id,
                'N' || chr(65 + c_nationkey) AS country_code,
-               CASE WHEN c_custkey % 7 <> 0 THEN CAST((c_acctbal + 1000) / 110 AS DECIMAL(5,2)) END AS risk_score,
+               CASE WHEN c_custkey % 7 <> 0 THEN CAST((2 * (CAST(round(c_acctbal * 100) AS BIGINT) + 100000) + 110) // 220 / 100 AS DECIMAL(5,2)) END AS risk_score,
                c_mktsegment AS segment
         FROM customer""",
     "v_legal_entities": f"""
