@@ -237,7 +237,7 @@ TXN_KEY = ["source_system", "reference", "transaction_date"]
 
 @query("latest_per_key", LATEST_SQL)
 def _(v):
-    rows = v.transaction_lines().select(*TXN_KEY, "amount", "transaction_type", "k", "line_no")
+    rows = v.transaction_lines(heavy=True).select(*TXN_KEY, "amount", "transaction_type", "k", "line_no")
     return keyed.latest_per_key(rows, TXN_KEY, ["amount", "line_no"]).drop("line_no")
 
 

@@ -28,7 +28,7 @@ UPSERT_SQL = f"""SELECT source_system, reference, transaction_date,
 
 
 def _loads(v):
-    rows = v.transaction_lines().select(*TXN_KEY, "amount", "line_no")
+    rows = v.transaction_lines(heavy=True).select(*TXN_KEY, "amount", "line_no")
     stamp = F.lit(dt.datetime(2024, 5, 1))
     first = keyed.latest_per_key(rows.where(F.col("transaction_date") < F.lit(CUT)), TXN_KEY, ["amount", "line_no"])
     target = first.withColumns({"created_at": stamp, "updated_at": stamp})

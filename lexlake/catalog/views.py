@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexlake.functions.keys import pipe_hash
+from lexlake.sources.files import spread
 
 AS_OF = dt.date(2001, 6, 30)
 REGULATIONS_AS_OF = dt.date(2003, 1, 1)
@@ -57,6 +58,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def rows(self, name: str) -> DataFrame:
+        """A table in front of costly row work."""
+        return spread(self.table(name))
+
     # --- parties ----------------------------------------------------------------
 
     def counterparties(self) -> DataFrame:
@@ -103,14 +108,16 @@ class Views:
 
     # --- transactions -----------------------------------------------------------
 
-    def transaction_lines(self) -> DataFrame:
-        """Transactions without the counterparty: no join needed."""
+    def transaction_lines(self, heavy: bool = False) -> DataFrame:
+        """Transactions without the counterparty: no join needed. ``heavy`` says that
+        costly row work follows."""
         flag, status, k = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_orderkey")
         day = F.col("l_shipdate").cast("date")
         price = F.col("l_extendedprice").cast("decimal(18,2)")
         reference = F.concat(F.lit("TXN-"), text_of(k), F.lit("-"), text_of("l_linenumber"))
         source = pick(TXN_SOURCES, F.col("l_suppkey") % 3)
-        return self.table("lineitem").select(
+        lines = self.rows("lineitem") if heavy else self.table("lineitem")
+        return lines.select(
             F.sha2(F.concat_ws("|", source, reference, text_of(day)), 256).alias("transaction_id"),
             day.alias("transaction_date"),
             k.alias("contract_id"),
@@ -128,11 +135,11 @@ class Views:
             (k * 10 + F.col("l_linenumber")).alias("k"),
         )
 
-    def transactions(self) -> DataFrame:
+    def transactions(self, heavy: bool = False) -> DataFrame:
         owner = self.table("orders").select(
             F.col("o_orderkey").alias("contract_id"), F.col("o_custkey").alias("counterparty_id")
         )
-        return self.transaction_lines().join(owner, "contract_id")
+        return self.transaction_lines(heavy).join(owner, "contract_id")
 
     # --- documents and regulations ------------------------------------------------
 
@@ -219,7 +226,7 @@ class Views:
     def raw_transactions(self) -> DataFrame:
         k = F.col("k")
         ref = F.col("reference")
-        return self.transactions().select(
+        return self.transactions(heavy=True).select(
             F.when(k % 83 == 0, "not-a-date").otherwise(text_of("transaction_date")).alias("transaction_date"),
             F.concat(F.lit("CT-"), text_of("contract_id")).alias("contract_number"),
             external_id(F.col("counterparty_id")).alias("counterparty_external_id"),
@@ -325,7 +332,7 @@ class Views:
             F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("Company "), text_of("o_custkey"))).alias("name"),
             F.struct(recent.alias("recent")).alias("filings"),
         )
-        return self.table("orders").select(k.alias("page"), F.to_json(page).alias("body"))
+        return self.rows("orders").select(k.alias("page"), F.to_json(page).alias("body"))
 
     def registry_pages(self) -> DataFrame:
         """One JSON page per customer, holding one or two registry records."""

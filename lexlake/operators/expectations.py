@@ -88,8 +88,9 @@ def validate(df: DataFrame, suite: list[Expectation]) -> DataFrame:
             ]
             bad, n, missing = F.col(f"u{i}"), F.col("n"), F.col(f"m{i}")
             judged = n if e.type == "expect_column_values_to_not_be_null" else n - missing
-            enough = F.lit(1.0 - e.kwargs.get("mostly", 1.0)) * judged
-            rows.append(_row(e, bad <= enough, n, missing, bad, none_double))
+            share = F.try_divide((judged - bad).cast("double"), judged)
+            good = F.coalesce(share >= F.lit(float(e.kwargs.get("mostly", 1.0))), F.lit(True))
+            rows.append(_row(e, good, n, missing, bad, none_double))
         elif e.type in AGGREGATE_EXPECTATIONS:
             aggs.append(AGGREGATE_EXPECTATIONS[e.type](c, e.kwargs).alias(f"o{i}"))
             seen = F.col(f"o{i}")

@@ -59,6 +59,14 @@ class Contract:
         return [f.name for f in self.fields]
 
 
+def _raw_name(column: str) -> str:
+    return f"_r_{column}".replace("`", "_").replace(".", "_")
+
+
+def _text_name(field_name: str) -> str:
+    return f"_t_{field_name}"
+
+
 def _error(bad: Column, loc: str, kind: str, msg: str) -> Column:
     return F.when(bad, F.struct(F.lit(loc).alias("loc"), F.lit(kind).alias("type"), F.lit(msg).alias("msg")))
 
@@ -67,7 +75,7 @@ def _text_of(f: Field, have: T.StructType) -> Column:
     """First projection: the field as stripped text, or as it came."""
     if f.name not in have.names:
         return F.lit(None).cast("string")
-    source = F.col(f"{RAW}.`{f.name}`")
+    source = F.col(_raw_name(f.name))
     dtype = have[f.name].dataType
     if f.kind == "text":
         return strip(source.cast("string"))
@@ -78,7 +86,7 @@ def _text_of(f: Field, have: T.StructType) -> Column:
 
 def _value_of(f: Field, have: T.StructType) -> Column:
     """Second projection: the typed, normalized value."""
-    given = F.col(f"_t.`{f.name}`")
+    given = F.col(_text_name(f.name))
     present = f.name in have.names
     dtype = have[f.name].dataType if present else None
     if f.kind == "tags":
@@ -121,7 +129,7 @@ def _errors_of(f: Field, have: T.StructType) -> list[Column]:
     and the value checks only when the value could be read."""
     present = f.name in have.names
     value = F.col(f.name)
-    given = F.col(f"_t.`{f.name}`")
+    given = F.col(_text_name(f.name))
     out: list[Column] = []
     if not present:
         if f.required and f.default is None:
@@ -157,29 +165,48 @@ def _errors_of(f: Field, have: T.StructType) -> list[Column]:
 
 
 def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """Contract columns plus the untouched input as ``_raw`` and ``_errors``."""
+    """Contract columns plus the untouched input as ``_raw`` and ``_errors``.
+
+    Each stage keeps its results as plain columns: a value used several times
+    downstream is then computed once, where a struct would be taken apart again by
+    the optimizer and its fields recomputed at every use.
+    """
     have = df.schema
-    raw = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(RAW))
-    texts = raw.select(RAW, F.struct(*[_text_of(f, have).alias(f.name) for f in contract.fields]).alias("_t"))
-    typed = texts.select(RAW, "_t", *[_value_of(f, have).alias(f.name) for f in contract.fields])
+    raws = [_raw_name(c) for c in df.columns]
+    raw = df.select(*[F.col(f"`{c}`").alias(r) for c, r in zip(df.columns, raws, strict=True)])
+    texts = raw.select(*raws, *[_text_of(f, have).alias(_text_name(f.name)) for f in contract.fields])
+    names = [_text_name(f.name) for f in contract.fields]
+    typed = texts.select(*raws, *names, *[_value_of(f, have).alias(f.name) for f in contract.fields])
     errors = [e for f in contract.fields for e in _errors_of(f, have)]
     if contract.cross:
         errors += [_error(bad, loc, kind, msg) for loc, (bad, kind, msg) in contract.cross()]
     found = F.array_compact(F.array(*errors)) if errors else F.array()
-    return typed.select(RAW, *contract.columns, found.cast(f"array<{ERROR_TYPE}>").alias(ERRORS))
+    original = F.struct(*[F.col(r).alias(c) for c, r in zip(df.columns, raws, strict=True)])
+    return typed.select(original.alias(RAW), *contract.columns, found.cast(f"array<{ERROR_TYPE}>").alias(ERRORS))
+
+
+def _emit(checked: DataFrame, keep: Column, columns: list[Column]) -> DataFrame:
+    """Rows where ``keep`` holds. As an emitted row and not as a filter: a filter on
+    the error list would be moved below the projection that computes it, and work
+    out every error twice, the first time without sharing common parts."""
+    return checked.select(F.inline(F.when(keep, F.array(F.struct(*columns)))))
 
 
 def valid_rows(checked: DataFrame, contract: Contract) -> DataFrame:
     out = [F.col(f.name).cast(f.store).alias(f.name) if f.store else F.col(f.name) for f in contract.fields]
-    return checked.where(F.size(ERRORS) == 0).select(*out)
+    return _emit(checked, F.size(ERRORS) == 0, out)
 
 
 def rejected_rows(checked: DataFrame, contract: Contract) -> DataFrame:
     """Quarantine form: original row as JSON, contract name, all errors."""
-    return checked.where(F.size(ERRORS) > 0).select(
-        F.to_json(RAW, {"ignoreNullFields": "false"}).alias("raw"),
-        F.lit(contract.name).alias("schema"),
-        F.col(ERRORS).alias("errors"),
+    return _emit(
+        checked,
+        F.size(ERRORS) > 0,
+        [
+            F.to_json(RAW, {"ignoreNullFields": "false"}).alias("raw"),
+            F.lit(contract.name).alias("schema"),
+            F.col(ERRORS).alias("errors"),
+        ],
     )
 
 

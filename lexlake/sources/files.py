@@ -50,6 +50,14 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give the rows of a scan to all cores when the scan itself has fewer tasks
+    than cores, as with one compressed or single-block file. Meant for a plain scan
+    in front of costly row work; a scan that is parallel already stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tag_lineage(df: DataFrame, batch_id: str, source_system: str, source_name: str, extracted_at: Column | None = None) -> DataFrame:
     """Stamp where and when the rows came in. Columns read from files also get the
     name of the file they came from."""

@@ -65,7 +65,8 @@ def encode_text(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with quotes only where needed and quotes doubled inside."""
+    """CSV with quotes only where needed and quotes doubled inside. As in the load
+    format, an empty text and a null are both written as an empty field."""
     (
         encode_text(df)
         .write.mode("errorifexists")
@@ -73,7 +74,9 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("escapeQuotes", True)
-        .option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("emptyValue", "")
         .option("nullValue", "")
         .csv(path)
     )
