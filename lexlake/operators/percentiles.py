@@ -63,24 +63,21 @@ def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
         "rows",
         (F.sum("rows").over(over_group.rowsBetween(W.unboundedPreceding, 0)) - F.col("rows")).alias("before"),
         F.sum("rows").over(W.partitionBy(group)).alias("n"),
-        F.min("lo").over(W.partitionBy(group)).alias("lo"),
-        F.max("hi").over(W.partitionBy(group)).alias("hi"),
-    )
-    ranks = {"m1": _rank_median_low, "m2": _rank_median_high, "p95": _rank_of(0.95), "p99": _rank_of(0.99)}
-    wanted = placed.select(
-        group,
-        "b",
-        "before",
-        "n",
         "lo",
         "hi",
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("k"), f(F.col("n")).cast("bigint").alias("r")) for k, f in ranks.items()])
-        ).alias("t"),
-        "rows",
-    ).where((F.col("t.r") > F.col("before")) & (F.col("t.r") <= F.col("before") + F.col("rows")))
-    wanted = wanted.select(group, "b", "before", "n", "lo", "hi", F.col("t.k").alias("k"), F.col("t.r").alias("r"))
-    inside = bucketed.join(wanted.select(group, "b").distinct(), [group, "b"], "left_semi")
+        F.min("lo").over(W.partitionBy(group)).alias("lowest"),
+        F.max("hi").over(W.partitionBy(group)).alias("highest"),
+    )
+    ranks = {"m1": _rank_median_low, "m2": _rank_median_high, "p95": _rank_of(0.95), "p99": _rank_of(0.99)}
+    each = [F.struct(F.lit(k).alias("k"), f(F.col("n")).cast("bigint").alias("r")) for k, f in ranks.items()]
+    wanted = (
+        placed.select("*", F.inline(F.array(*each)))
+        .where((F.col("r") > F.col("before")) & (F.col("r") <= F.col("before") + F.col("rows")))
+        .drop("rows")
+    )
+    # at most four ranges per group; their rows are found again by value
+    spans = wanted.select(group, "b", "lo", "hi").distinct()
+    inside = counted.join(spans, group).where(F.col("v").between(F.col("lo"), F.col("hi"))).select(group, "b", "v", "c")
     running = inside.withColumn(
         "upto", F.sum("c").over(W.partitionBy(group, "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
     )
@@ -93,6 +90,6 @@ def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
         ((at("m1") + at("m2")) / 2).alias("p50"),
         at("p95").alias("p95"),
         at("p99").alias("p99"),
-        F.max("lo").alias("min_value"),
-        F.max("hi").alias("max_value"),
+        F.max("lowest").alias("min_value"),
+        F.max("highest").alias("max_value"),
     )

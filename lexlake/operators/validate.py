@@ -185,6 +185,13 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return typed.select(original.alias(RAW), *contract.columns, found.cast(f"array<{ERROR_TYPE}>").alias(ERRORS))
 
 
+def settle(checked: DataFrame) -> DataFrame:
+    """Form to store: the original row only where it was rejected, as JSON, so that
+    storing the outcome does not store the input a second time."""
+    kept = F.when(F.size(ERRORS) > 0, F.to_json(RAW, {"ignoreNullFields": "false"}))
+    return checked.withColumn(RAW, kept)
+
+
 def _emit(checked: DataFrame, keep: Column, columns: list[Column]) -> DataFrame:
     """Rows where ``keep`` holds. As an emitted row and not as a filter: a filter on
     the error list would be moved below the projection that computes it, and work
@@ -199,11 +206,12 @@ def valid_rows(checked: DataFrame, contract: Contract) -> DataFrame:
 
 def rejected_rows(checked: DataFrame, contract: Contract) -> DataFrame:
     """Quarantine form: original row as JSON, contract name, all errors."""
+    settled = isinstance(checked.schema[RAW].dataType, T.StringType)
     return _emit(
         checked,
         F.size(ERRORS) > 0,
         [
-            F.to_json(RAW, {"ignoreNullFields": "false"}).alias("raw"),
+            (F.col(RAW) if settled else F.to_json(RAW, {"ignoreNullFields": "false"})).alias("raw"),
             F.lit(contract.name).alias("schema"),
             F.col(ERRORS).alias("errors"),
         ],

@@ -10,13 +10,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexlake.contracts import contract_for
 from lexlake.functions.business import MONEY
 from lexlake.operators import dq, joins, keyed, partitions, scd2
-from lexlake.operators.validate import Contract, apply_contract, outcome_counts, rejected_rows, valid_rows
+from lexlake.operators.validate import ERRORS, Contract, apply_contract, rejected_rows, settle, valid_rows
 from lexlake.plans import gold, staging
 from lexlake.sources import files, pages, sinks
 from lexlake.workspace import materialize
@@ -63,15 +63,20 @@ def land(df: DataFrame, zones: Zones, name: str, batch_id: str, system: str, as_
 
 
 def check(df: DataFrame, contract: Contract, zones: Zones, name: str, batch_id: str, as_of: dt.datetime, summary: Summary) -> DataFrame:
-    """Validate once, store the outcome, send rejects to quarantine, return valid rows."""
-    checked = materialize(apply_contract(df, contract), f"checked-{name}")
-    n = outcome_counts(checked).first()
+    """Validate once, store the outcome, send rejects to quarantine, return valid
+    rows. The counters are taken while the outcome is written."""
+    seen = Observation()
+    bad = F.size(ERRORS) > 0
+    outcome = settle(apply_contract(df, contract)).observe(
+        seen, F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("rejected")
+    )
+    checked = materialize(outcome, f"checked-{name}")
+    n = seen.get
     summary.extracted += n["total"]
-    summary.valid += n["valid"]
+    summary.valid += n["total"] - n["rejected"]
     summary.rejected += n["rejected"]
     if n["rejected"]:
-        bad = rejected_rows(checked, contract)
-        sinks.write_quarantine(bad, zones.path("quarantine", name), batch_id, F.lit(as_of))
+        sinks.write_quarantine(rejected_rows(checked, contract), zones.path("quarantine", name), batch_id, F.lit(as_of))
     return valid_rows(checked, contract)
 
 
@@ -241,8 +246,14 @@ def commercial_ingestion(
         raw = land(files.scan_csv(spark, transactions_csv), zones, "transactions", batch_id, "commercial_csv", as_of)
         valid = check(raw, contract_for("transaction"), zones, "transactions", batch_id, as_of, s)
         valid = _gated(valid, "transactions", on_error, s)
-        linked = materialize(joins.resolve_keys(valid, parties, contracts), "linked")
-        s.skipped = linked.where(~F.col("resolved")).count()
+        seen = Observation()
+        linked = joins.resolve_keys(valid, parties, contracts).observe(
+            seen, F.count_if(~F.col("resolved")).alias("skipped")
+        )
+        # counted in the writing stage itself: an earlier stage that is run again
+        # after an executor loss would count its rows again
+        linked = materialize(linked, "linked")
+        s.skipped = seen.get["skipped"]
         rows = linked.where("resolved").drop("resolved", "contract_number", "counterparty_external_id")
         rows = partitions.with_month(
             rows.withColumns({"transaction_id": surrogate(*TRANSACTION_KEY), "amount": F.col("amount").cast(MONEY)}),
