@@ -49,9 +49,10 @@ def first_filled(*cols: Column | str) -> Column:
 
 
 def parse_date(c: Column | str, pattern: str = ISO_DATE) -> Column:
-    """ISO date or null; never throws, also in ANSI mode."""
+    """ISO date or null; never throws, also in ANSI mode. The shape is checked
+    first; what remains for the cast is whether the day exists."""
     text = col(c)
-    return F.when(text.rlike(pattern), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
+    return F.when(text.rlike(pattern), F.left(text, F.lit(10)).try_cast("date"))
 
 
 def to_decimal(c: Column | str, precision: int, scale: int) -> Column:

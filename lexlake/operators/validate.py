@@ -67,8 +67,24 @@ def _text_name(field_name: str) -> str:
     return f"_t_{field_name}"
 
 
-def _error(bad: Column, loc: str, kind: str, msg: str) -> Column:
-    return F.when(bad, F.struct(F.lit(loc).alias("loc"), F.lit(kind).alias("type"), F.lit(msg).alias("msg")))
+def _error(bad: Column, loc: str, kind: str, msg: str) -> tuple[Column, Column]:
+    """(condition that is never null, error to report)"""
+    found = F.struct(F.lit(loc).alias("loc"), F.lit(kind).alias("type"), F.lit(msg).alias("msg"))
+    return F.coalesce(bad, F.lit(False)), found
+
+
+def _collect(errors: list[tuple[Column, Column]]) -> Column:
+    """All errors that hold. Clean rows are told by one boolean expression and get
+    a constant; only faulty rows build and compact the list."""
+    none = F.array().cast(f"array<{ERROR_TYPE}>")
+    if not errors:
+        return none
+    # "any of" as the greatest boolean: its code is split into small methods, where a
+    # chain of ORs becomes one method too long for the JIT compiler
+    flags = [bad for bad, _ in errors]
+    any_bad = F.greatest(*flags) if len(flags) > 1 else flags[0]
+    listed = F.array_compact(F.array(*[F.when(bad, found) for bad, found in errors]))
+    return F.when(any_bad, listed.cast(f"array<{ERROR_TYPE}>")).otherwise(none)
 
 
 def _text_of(f: Field, have: T.StructType) -> Column:
@@ -124,13 +140,13 @@ def _spark_type(f: Field) -> str:
     }[f.kind]
 
 
-def _errors_of(f: Field, have: T.StructType) -> list[Column]:
+def _errors_of(f: Field, have: T.StructType) -> list[tuple[Column, Column]]:
     """Third projection: what is wrong with the field; at most one reading error,
     and the value checks only when the value could be read."""
     present = f.name in have.names
     value = F.col(f.name)
     given = F.col(_text_name(f.name))
-    out: list[Column] = []
+    out: list[tuple[Column, Column]] = []
     if not present:
         if f.required and f.default is None:
             out.append(_error(F.lit(True), f.name, "missing", "Field required"))
@@ -180,9 +196,8 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     errors = [e for f in contract.fields for e in _errors_of(f, have)]
     if contract.cross:
         errors += [_error(bad, loc, kind, msg) for loc, (bad, kind, msg) in contract.cross()]
-    found = F.array_compact(F.array(*errors)) if errors else F.array()
     original = F.struct(*[F.col(r).alias(c) for c, r in zip(df.columns, raws, strict=True)])
-    return typed.select(original.alias(RAW), *contract.columns, found.cast(f"array<{ERROR_TYPE}>").alias(ERRORS))
+    return typed.select(original.alias(RAW), *contract.columns, _collect(errors).alias(ERRORS))
 
 
 def settle(checked: DataFrame) -> DataFrame:
