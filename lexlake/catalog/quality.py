@@ -86,7 +86,7 @@ def _(v):
 
 
 SUITE_SQL = """
-    WITH t AS (SELECT * FROM v_transactions),
+    WITH t AS (SELECT * FROM v_transaction_lines),
     f AS (SELECT * FROM (
         SELECT 1 AS o, 'transaction_reference_not_null' AS rule, 'not_null' AS type, 'error' AS severity,
                count(*) FILTER (WHERE reference IS NULL) AS f FROM t
@@ -104,7 +104,7 @@ SUITE_SQL = """
 
 @query("dq_suite", f"{SUITE_SQL} SELECT 'transactions' AS suite, rule, type, severity, f = 0 AS passed, f AS failed_count FROM f")
 def _(v):
-    return dq.run_suite(v.transactions(), dq.builtin_rules("transactions"), "transactions").select(
+    return dq.run_suite(v.transaction_lines(), dq.builtin_rules("transactions"), "transactions").select(
         "suite", "rule", "type", "severity", "passed", "failed_count"
     )
 
@@ -146,8 +146,8 @@ def _(v):
 )
 def _(v):
     """Upload mode: rows of a batch with a blocking failure are held back."""
-    results = dq.run_suite(v.transactions(), dq.builtin_rules("transactions"), "transactions")
-    kept = dq.gate(results, v.transactions(), on_error="drop")
+    results = dq.run_suite(v.transaction_lines(), dq.builtin_rules("transactions"), "transactions")
+    kept = dq.gate(results, v.transaction_lines(), on_error="drop")
     blocking = results.where("NOT passed AND severity = 'error'").count()
     return kept.agg(F.count(F.lit(1)).alias("passed_rows")).select(
         F.lit(blocking).cast("bigint").alias("blocking"), "passed_rows"
@@ -161,7 +161,7 @@ def _(v):
             count(*) FILTER (WHERE f > 0 AND severity <> 'error') AS warnings FROM f""",
 )
 def _(v):
-    return dq.summarize(dq.run_suite(v.transactions(), dq.builtin_rules("transactions"), "transactions"))
+    return dq.summarize(dq.run_suite(v.transaction_lines(), dq.builtin_rules("transactions"), "transactions"))
 
 
 # --- expectations -------------------------------------------------------------------

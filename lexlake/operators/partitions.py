@@ -46,6 +46,17 @@ def retain(df: DataFrame, month_col: str, keep_from: dt.date) -> DataFrame:
     return df.where(F.col(month_col) >= F.lit(f"{keep_from:%Y_%m}"))
 
 
+def drop_months(spark: SparkSession, table: str, month_col: str, keep_from: dt.date) -> list[str]:
+    """Drop the partitions of a catalog table older than the given month; rows are
+    not read. Returns the dropped months."""
+    names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]  # one per month
+    months = [n.split(f"{month_col}=")[1].split("/")[0] for n in names]
+    old = sorted(m for m in set(months) if m < f"{keep_from:%Y_%m}")
+    for m in old:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({month_col} = '{m}')")
+    return old
+
+
 def inventory(df: DataFrame, month_col: str = "month") -> DataFrame:
     """Rows, files and bytes per partition of a stored table.
 

@@ -119,6 +119,12 @@ def jdbc_newer_than(
     return reader.load().where(F.col(mark_column) > F.to_timestamp(F.lit(last)))
 
 
+def list_files(spark: SparkSession, prefix: str, glob: str = "*") -> DataFrame:
+    """Files of any kind below a prefix with size and time; contents are not read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return reader.load(prefix).select("path", F.col("length").alias("bytes"), "modificationTime")
+
+
 def first_n(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """First n rows in a stated order (a top-n, no full sort)."""
     return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
