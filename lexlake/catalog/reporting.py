@@ -48,7 +48,7 @@ def _(v):
 def _(v):
     ids = v.counterparties().select("counterparty_id", "external_id")
     facts = (
-        v.transactions()
+        v.transactions(heavy=True)
         .select("counterparty_id", "reference", "transaction_date", "amount")
         .join(ids, "counterparty_id")
         .drop("counterparty_id")
