@@ -124,7 +124,7 @@ def _value_of(f: Field, have: T.StructType) -> Column:
         value = given.try_cast("timestamp")
         return F.coalesce(value, f.default()) if f.default else value
     if f.kind == "json":
-        body = given if isinstance(dtype, T.StringType) else F.to_json(given)
+        body = given if isinstance(dtype, T.StringType) else F.to_json(given, {"ignoreNullFields": "false"})
         return F.coalesce(body, F.lit("{}"))
     raise ValueError(f"unknown field kind {f.kind}")
 

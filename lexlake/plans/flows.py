@@ -87,6 +87,8 @@ def _gated(valid: DataFrame, suite: str, on_error: str, summary: Summary) -> Dat
     try:
         failed = results.where("NOT passed AND severity = 'error'").collect()
         summary.dq_failures = [f"{r.rule}: {r.message}" for r in failed]
+        if failed and on_error == "drop":
+            summary.valid = 0
         return dq.gate(results, valid, on_error)
     finally:
         results.unpersist()
@@ -121,12 +123,19 @@ def _load_documents(spark: SparkSession, valid: DataFrame, zones: Zones, as_of:
 
 
 def legal_ingestion(
-    spark: SparkSession, csv_path: str, zones: Zones, batch_id: str, as_of: dt.datetime, on_error: str = "raise"
+    spark: SparkSession,
+    csv_path: str,
+    zones: Zones,
+    batch_id: str,
+    as_of: dt.datetime,
+    on_error: str = "raise",
+    default_source: str = "legal_csv",
 ) -> Summary:
-    """CSV of legal documents to Silver and Gold."""
+    """CSV of legal documents to Silver and Gold. With ``on_error="drop"``, as for
+    uploads, a failed quality gate loads nothing and is reported."""
     summary = Summary()
     raw = land(files.scan_csv(spark, csv_path), zones, "legal_documents", batch_id, "legal_csv", as_of)
-    mapped = staging.map_legal_csv(raw)
+    mapped = staging.map_legal_csv(raw, default_source)
     valid = check(mapped, contract_for("document"), zones, "legal_documents", batch_id, as_of, summary)
     valid = _gated(valid, "legal_documents", on_error, summary)
     _load_documents(spark, valid, zones, as_of, summary)

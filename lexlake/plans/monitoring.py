@@ -46,10 +46,17 @@ def quarantine_by_rule(audit: DataFrame, length: str = "10 minutes", lateness: s
 
 
 def failure_rate(checks: DataFrame, length: str = "5 minutes", slide: str = "1 minute", lateness: str = LATENESS) -> DataFrame:
-    """Failed checks per minute over a sliding window."""
+    """Failed checks per minute over a sliding window. Counts are taken per slide
+    first and windows built from those, so that no check is copied into every window
+    it belongs to. ``length`` has to be a multiple of ``slide``."""
+    per_slide = (
+        _timed(checks, lateness)
+        .groupBy(F.window("ts", slide).alias("part"))
+        .agg(F.count(F.lit(1)).alias("checks"), F.count_if("failed").alias("failed"))
+    )
     seconds = F.col("window.end").cast("long") - F.col("window.start").cast("long")
-    counted = _timed(checks, lateness).groupBy(F.window("ts", length, slide)).agg(
-        F.count(F.lit(1)).alias("checks"), F.count_if("failed").alias("failed")
+    counted = per_slide.groupBy(F.window("part", length, slide)).agg(
+        F.sum("checks").alias("checks"), F.sum("failed").alias("failed")
     )
     per_minute = F.col("failed").cast("double") * 60 / seconds
     return _bounds(

@@ -51,7 +51,7 @@ def encode_text(df: DataFrame) -> DataFrame:
     def one(f: T.StructField) -> Column:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return F.to_json(c)
+            return F.to_json(c, {"ignoreNullFields": "false"})
         if isinstance(f.dataType, T.DateType):
             return F.date_format(c, "yyyy-MM-dd")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):

@@ -55,7 +55,7 @@ def test_quality_gate_stops_or_drops(spark, tmp_path):
     # rejects were written before the gate
     assert spark.read.parquet(zones.path("quarantine", "transactions")).count() == 1
     s = flows.commercial_ingestion(spark, zones, "b1", T1, transactions_csv=path, on_error="drop")["transactions"]
-    assert (s.valid, s.rejected, s.loaded) == (1, 1, 0) and s.dq_failures
+    assert (s.valid, s.rejected, s.loaded) == (0, 1, 0) and s.dq_failures
 
 
 def test_commercial_ingestion(spark, tmp_path):
