@@ -71,6 +71,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     per_id = maybe.groupBy("sha", "id").agg(F.count("*").alias("rows"))
     groups = per_id.groupBy("sha").agg(F.max(F.struct("id", "rows")).alias("top"), F.sum("rows").alias("group_size"))
     groups = groups.select("sha", F.col("top.id").alias("keep_id"), F.col("top.rows").alias("__top"), "group_size")
+    # written out, so that both sides of the join are dealt anew and a hot text can be split
+    groups = materialize(groups, "copy-groups")
     joined = maybe.join(groups, "sha")
     top = F.col("id").eqNullSafe(F.col("keep_id"))
     out = ["id", "keep_id", "group_size", "kept", "sha", *end]
