@@ -63,7 +63,7 @@ def probes(bins: int) -> list[list[int]]:
 
 def densified(least: Column, bins: int = BINS) -> Column:
     """The value of each bin, empty ones filled; null for all if there is none."""
-    table = F.array(*(F.array(*map(F.lit, p)) for p in probes(bins)))
+    table = F.expr(f"array({', '.join('array(' + ', '.join(map(str, p)) + ')' for p in probes(bins))})")
 
     def spread(m: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.try_element_at(m, b))
