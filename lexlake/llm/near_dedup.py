@@ -6,7 +6,7 @@ has a hash function of its own; registers filled by a prefix of one hash stay em
 short documents.) Runs of registers are bands; documents with an equal band are
 candidates. They are never paired off: each band bucket first links its members to one
 leader. Only buckets that then still hold several components compare members across
-components, inside the join, by a bit sketch that rides along. The estimate from the
+components, inside the join, by a longer bit sketch that rides along. The estimate from the
 registers, corrected for chance agreement, throws out the clearly unlike; the rest is
 confirmed on the full sets.
 """
@@ -30,8 +30,9 @@ MANTISSA = 10
 COLLISION = 0.169919487159739 / (1 << MANTISSA)
 #: A candidate goes on to confirmation if its estimate is within this of the threshold (over 6 deviations).
 SLACK = 0.15
-#: Of 256 sketch bits, how many may differ for a pair at the threshold 0.8 (over 5 deviations).
-BITS, MOST_DIFFER = 256, 51
+#: For comparing across components: sketch bits, and how many may differ for a pair at the
+#: threshold 0.8 (4.5 deviations over the mean of 205; a pair at 0.7 passes once in 300).
+BITS, MOST_DIFFER = 2048, 266
 #: Bytes of text hashed at once.
 SLICE = 1 << 20
 
@@ -44,6 +45,8 @@ _TABLE[65:91] = _TABLE[97:123]  # A-Z as a-z
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MUL = (_rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.uint64).astype(np.uint32)
+_BIT_MUL = (_rng.integers(0, 1 << 32, BITS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_BIT_ADD = _rng.integers(0, 1 << 32, BITS, dtype=np.uint64).astype(np.uint32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,12 +99,19 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out
 
 
+def minima(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over a set."""
+    x = (s >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(mul), 0xFFFFFFFF, dtype=np.uint32)
+    step = max(1, 36864 // len(mul))
+    for at in range(0, len(x), step):
+        np.minimum(least, (x[at : at + step, None] * mul + add).min(axis=0), out=least)
+    return least
+
+
 def registers(s: np.ndarray) -> np.ndarray:
     """The sketch of a set that isn't empty."""
-    x = (s >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(_MUL), 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(x), 128):
-        least = np.minimum(least, (x[at : at + 128, None] * _MUL + _ADD).min(axis=0))
+    least = minima(s, _MUL, _ADD)
     part, exponent = np.frexp(least.astype(np.float64))
     mantissa = ((part * 2 - 1).clip(0, None) * (1 << MANTISSA)).astype(np.uint16)
     zeros = np.where(least == 0, 32, 32 - exponent).astype(np.uint16)
@@ -109,27 +119,25 @@ def registers(s: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, h, n, node, regs, bits): hash of the text, the set's size, its 128-bit digest, registers, and one bit of each of 256 registers."""
+    """(id, h, n, node, regs): hash of the text, the set's size, its 128-bit digest, registers."""
 
     def make():
         def apply(cols):
             sets = shingle_sets(cols["text"].to_pylist(), width)
             regs = [registers(s) if len(s) else None for s in sets]
-            bits = [None if r is None else np.packbits((r[:BITS] & 1).astype(np.uint8)).view(np.int64).tolist() for r in regs]
             return {
                 "id": cols["id"],
                 "h": cols["h"],
                 "n": [len(s) for s in sets],
                 "node": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                 "regs": [None if r is None else r.tobytes() for r in regs],
-                "bits": pa.array(bits, type=pa.list_(pa.int64())),
             }
 
         return apply
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("h"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return map_texts(rows, make, f"id {kind}, h long, n long, node binary, regs binary, bits array<long>")
+    return map_texts(rows, make, f"id {kind}, h long, n long, node binary, regs binary")
 
 
 def band_keys(nodes: DataFrame) -> DataFrame:
@@ -191,6 +199,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return map_texts(met.select("u", "v", "su", "sv"), make, "u binary, v binary")
 
 
+def bit_sketches(texts: DataFrame, width: int) -> DataFrame:
+    """(node, b0, b1, ...): one bit of the least value of each of 2048 hash functions."""
+    names = [f"b{i}" for i in range(BITS // 64)]
+
+    def make():
+        def apply(cols):
+            sets = shingle_sets(cols["text"].to_pylist(), width)
+            words = np.array([np.packbits((minima(s, _BIT_MUL, _BIT_ADD) >> np.uint32(12)).astype(np.uint8) & 1).view(np.int64) for s in sets])
+            return {"node": cols["node"], **{c: pa.array(words[:, i]) for i, c in enumerate(names)}}
+
+        return apply
+
+    return map_texts(texts, make, "node binary, " + ", ".join(f"{c} long" for c in names))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the least node reachable, for every node that has an edge.
 
@@ -222,7 +245,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sketches = materialize(sketch(docs, id_col, text_col, width), "sketches")
     some = sketches.where("n > 0")
     nodes = materialize(
-        some.groupBy("node").agg(F.min("id").alias("first"), F.first("regs").alias("regs"), F.first("bits").alias("bits")), "nodes"
+        some.groupBy("node").agg(F.min("id").alias("first"), F.first("regs").alias("regs")), "nodes"
     )
     labels = links(nodes, _one_text(docs, sketches, nodes, id_col, text_col), width, percent)
     owner = nodes.select("node", "first").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -266,8 +289,9 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
     labels = components(edges)
     named = members.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     still = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-    bits = nodes.select("node", *(F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITS // 64)))
-    open_rows = materialize(named.join(still, "key", "left_semi").join(bits, "node"), "open")
+    open_rows = materialize(named.join(still, "key", "left_semi"), "open")
+    open_texts = texts.join(open_rows.select("node").distinct(), "node", "left_semi").select("node", "text")
+    open_rows = open_rows.join(materialize(bit_sketches(open_texts, width), "open-bits"), "node")
     left, right = open_rows.alias("l"), open_rows.alias("r")
     differ = sum((F.bit_count(F.col(f"l.b{i}").bitwiseXOR(F.col(f"r.b{i}"))) for i in range(1, BITS // 64)), F.bit_count(F.col("l.b0").bitwiseXOR(F.col("r.b0"))))
     across = left.join(
