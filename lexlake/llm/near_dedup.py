@@ -274,9 +274,8 @@ def _one_text(docs, sketches, nodes, id_col, text_col) -> DataFrame:
 def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, comp) of all nodes that have a link."""
     keys = band_keys(nodes.select("node", "regs"))
-    # any member may lead; a different one in each bucket, so that leaders differ where buckets overlap
-    order = F.xxhash64("node", "key")
-    heads = keys.groupBy("key").agg(F.min_by("node", order).alias("leader"), F.count("*").alias("c")).where("c > 1").select("key", "leader")
+    # the least member leads, so that buckets of one large group mostly share their leader
+    heads = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").select("key", "leader")
     members = materialize(keys.join(heads, "key"), "members")
     u, v = F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")
     asked = materialize(members.where("node <> leader").select(u, v).distinct(), "candidates")
@@ -287,19 +286,41 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
 
     edges = accept(asked)
     labels = components(edges)
-    named = members.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    still = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-    open_rows = materialize(named.join(still, "key", "left_semi"), "open")
+    open_rows = still_open(members.select("key", "node"), labels)
     open_texts = texts.join(open_rows.select("node").distinct(), "node", "left_semi").select("node", "text")
-    open_rows = open_rows.join(materialize(bit_sketches(open_texts, width), "open-bits"), "node")
-    left, right = open_rows.alias("l"), open_rows.alias("r")
-    differ = sum((F.bit_count(F.col(f"l.b{i}").bitwiseXOR(F.col(f"r.b{i}"))) for i in range(1, BITS // 64)), F.bit_count(F.col("l.b0").bitwiseXOR(F.col("r.b0"))))
-    across = left.join(
-        right,
-        (F.col("l.key") == F.col("r.key")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.comp") != F.col("r.comp")) & (differ <= MOST_DIFFER),
-    ).select(F.col("l.node").alias("u"), F.col("r.node").alias("v"))
-    rest = materialize(across.distinct().join(asked, ["u", "v"], "left_anti"), "candidates")
-    if rest.isEmpty():
-        return labels
-    more = accept(rest)
-    return labels if more.isEmpty() else components(edges.unionByName(more))
+    bits = materialize(bit_sketches(open_texts, width), "open-bits")
+    # another leader in each bucket first, which joins most of what belongs together; then all that is left
+    for one_leader in (True, False):
+        rows = open_rows.join(bits, "node")
+        left = rows
+        if one_leader:
+            heads = open_rows.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("node"))
+            left = rows.join(heads, ["key", "node"], "left_semi")
+        pairs = materialize(across(left, rows, one_leader).join(asked, ["u", "v"], "left_anti"), "candidates")
+        more = accept(pairs)
+        if not more.isEmpty():
+            edges, asked = edges.unionByName(more), asked.unionByName(pairs)
+            labels = components(edges)
+            open_rows = still_open(open_rows.select("key", "node"), labels)
+        else:
+            asked = asked.unionByName(pairs)
+    return labels
+
+
+def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, comp) of the buckets that hold more than one component."""
+    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    still = named.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
+    return materialize(named.join(still, "key", "left_semi"), "open")
+
+
+def across(left: DataFrame, right: DataFrame, any_order: bool) -> DataFrame:
+    """Pairs (u, v) of one bucket and different components whose bit sketches are close."""
+    left, right = left.alias("l"), right.alias("r")
+    ell, r = F.col("l.node"), F.col("r.node")
+    differ = F.lit(0)
+    for i in range(BITS // 64):
+        differ = differ + F.bit_count(F.col(f"l.b{i}").bitwiseXOR(F.col(f"r.b{i}")))
+    met = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.comp")) & (differ <= MOST_DIFFER)
+    met = left.join(right, met if any_order else met & (ell < r))
+    return met.select(F.least(ell, r).alias("u"), F.greatest(ell, r).alias("v")).distinct()
