@@ -215,21 +215,36 @@ def bit_sketches(texts: DataFrame, width: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, comp): the least node reachable, for every node that has an edge.
+    """(node, comp): one node of the component, the same for all, for every node that has an edge.
 
-    Each round takes the least label of the neighbours, then follows labels twice, so
-    that a path shortens by powers. Labels are written out after every round.
+    Each round points every node to its least neighbour if that is less, follows the
+    pointers once, and draws the edges anew between what is left, so that their number
+    falls from round to round. Pointers and edges are written out after every round.
     """
-    both = materialize(edges.select("u", "v").union(edges.select("v", "u")).distinct(), "links")
-    labels = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("comp")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("v"), "comp"), "v").groupBy("u").agg(F.min("comp").alias("m"))
-        step = labels.join(near.withColumnRenamed("u", "node"), "node").select("node", F.least("comp", "m").alias("comp"), F.col("comp").alias("was"))
-        up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        new = materialize(step.join(up, "comp").select("node", F.least("comp", "top").alias("comp"), "was"), "labels")
-        labels = new.select("node", "comp")
-        if new.where("comp <> was").isEmpty():
-            return labels
+    u, v = F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
+    rest = materialize(edges.select(u, v).where("u <> v").distinct(), "links")
+    labels = None
+    while labels is None or not rest.isEmpty():
+        both = rest.union(rest.select("v", "u"))
+        near = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("up"))
+        hop = near.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        step = materialize(near.join(hop, "up").select("node", F.col("top").alias("up")), "pointers")
+        if labels is None:
+            labels = step.withColumnRenamed("up", "comp")
+        else:
+            labels = relabelled(labels, step.withColumnRenamed("up", "comp"))
+        ends = rest
+        for c in ("u", "v"):
+            ends = ends.join(step.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")), c).drop(c).withColumnRenamed(f"{c}_up", c)
+        rest = materialize(ends.select(u, v).where("u <> v").distinct(), "links")
+    return labels
+
+
+def relabelled(labels: DataFrame, step: DataFrame) -> DataFrame:
+    """The labels after components have been joined by ``step``, which may bring new nodes."""
+    to = step.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    old = labels.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return materialize(old.unionByName(step.join(labels, "node", "left_anti").select("node", "comp")), "labels")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -284,8 +299,7 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
         close = materialize(estimated(pairs, nodes, percent / 100), "close")
         return materialize(confirmed(close, texts, width, percent), "confirmed")
 
-    edges = accept(asked)
-    labels = components(edges)
+    labels = components(accept(asked))
     open_rows = still_open(members.select("key", "node"), labels)
     open_texts = texts.join(open_rows.select("node").distinct(), "node", "left_semi").select("node", "text")
     bits = materialize(bit_sketches(open_texts, width), "open-bits")
@@ -298,12 +312,14 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
             left = rows.join(heads, ["key", "node"], "left_semi")
         pairs = materialize(across(left, rows, one_leader).join(asked, ["u", "v"], "left_anti"), "candidates")
         more = accept(pairs)
+        asked = asked.unionByName(pairs)
         if not more.isEmpty():
-            edges, asked = edges.unionByName(more), asked.unionByName(pairs)
-            labels = components(edges)
+            ends = more
+            for c in ("u", "v"):
+                of = labels.select(F.col("node").alias(c), F.col("comp").alias("of"))
+                ends = ends.join(of, c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
+            labels = relabelled(labels, components(ends))
             open_rows = still_open(open_rows.select("key", "node"), labels)
-        else:
-            asked = asked.unionByName(pairs)
     return labels
 
 
