@@ -121,7 +121,7 @@ class Mix:
         drawn = all_draws.join(F.broadcast(table), "i")  # one line per source
         drawn = drawn.withColumn("draw", F.col("id") - F.col("first"))
         shard = F.size(F.filter("upto", lambda e: e <= F.col("draw")))
-        return drawn.select("src", permuted(F.col("draw") % F.col("blocks"), "blocks", F.col("key") + F.floor(F.col("draw") / F.col("blocks"))).alias("block"), shard.alias("shard"), "draw")
+        return drawn.select("src", permuted(F.col("draw") % F.col("blocks"), "blocks", F.expr("key + draw div blocks")).alias("block"), shard.alias("shard"), "draw")
 
 
 def word_count(text):
