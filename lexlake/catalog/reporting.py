@@ -54,8 +54,7 @@ def _(v):
         .drop("counterparty_id")
     )
     dim = v.dim_counterparty().select("external_id", "band", "valid_from", "valid_to")
-    span = scd2.fact_span(v.transaction_lines(), "transaction_date")
-    return scd2.asof_join(facts, dim, "external_id", "transaction_date", span).drop("valid_to")
+    return scd2.asof_join(facts, dim, "external_id", "transaction_date").drop("valid_to")
 
 
 @query(
@@ -163,8 +162,7 @@ def _(v):
         WHERE {REVENUE} GROUP BY ALL""",
 )
 def _(v):
-    span = scd2.fact_span(v.transaction_lines(), "transaction_date")
-    return gold.monthly_revenue_asof(v.transactions(), v.counterparties(), v.dim_counterparty_named(), span)
+    return gold.monthly_revenue_asof(v.transactions(), v.counterparties(), v.dim_counterparty_named())
 
 
 @query(

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexlake.functions.keys import pipe_hash
-from lexlake.sources.files import spread
 
 AS_OF = dt.date(2001, 6, 30)
 REGULATIONS_AS_OF = dt.date(2003, 1, 1)
@@ -60,7 +59,7 @@ class Views:
 
     def rows(self, name: str) -> DataFrame:
         """A table in front of costly row work."""
-        return spread(self.table(name))
+        return self.table(name)
 
     # --- parties ----------------------------------------------------------------
 
@@ -151,7 +150,7 @@ class Views:
             F.when(F.col("source") == "src0", "sec_edgar").otherwise(F.col("source")).alias("source_system"),
             F.concat(F.lit("DOC-"), text_of(k)).alias("source_id"),
             pick(DOC_TYPES, k % 6).alias("document_type"),
-            F.left("text", F.lit(80)).alias("title"),
+            F.substring_index("text", "\n", 1).alias("title"),
             F.col("text").alias("content"),
             F.col("lang").alias("jurisdiction"),
             F.array("lang", "source").alias("tags"),
@@ -480,7 +479,7 @@ VIEW_SQL = {
         FROM (SELECT doc_id AS document_id, DATE '2022-01-01' + CAST(doc_id % 1000 AS INTEGER) AS document_date,
                      CASE WHEN source = 'src0' THEN 'sec_edgar' ELSE source END AS source_system,
                      'DOC-' || doc_id::VARCHAR AS source_id, {sql_pick(DOC_TYPES, 'doc_id % 6')} AS document_type,
-                     left(text, 80) AS title, text AS content, lang AS jurisdiction, lang, source,
+                     split_part(text, chr(10), 1) AS title, text AS content, lang AS jurisdiction, lang, source,
                      'R' || (doc_id % 50)::VARCHAR AS regulation_code, doc_id % 200 AS entity_id
               FROM documents)""",
     "v_regulations": f"""

@@ -83,6 +83,6 @@ def mean_money(total: Column, n: Column) -> Column:
     """Average from a sum and a count, half away from zero.
 
     ``avg`` would round twice. The quotient here has 12 digits after the point, so
-    for fewer than 10^10 rows it cannot be mistaken for a tie it is not.
+    for fewer than 10^10 rows in a group it cannot be mistaken for a tie it is not.
     """
-    return F.try_divide(total.cast("decimal(28,2)"), n.cast("decimal(12,0)")).cast(MONEY)
+    return F.try_divide(total.cast("decimal(28,2)"), n.cast("decimal(20,0)")).cast(MONEY)

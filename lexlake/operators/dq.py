@@ -156,6 +156,11 @@ def _unique_pass(df: DataFrame, rule: Rule) -> DataFrame:
     return df.agg((F.count(F.lit(1)) - distinct).alias("f")).select(_result(rule, F.col("f")).alias("r"))
 
 
+RESULT_SCHEMA = (
+    "suite string, rule string, type string, column string, severity string, passed boolean, failed_count bigint, message string"
+)
+
+
 def run_suite(df: DataFrame, rules: list[Rule], suite: str = "default") -> DataFrame:
     """One row per rule. A rule that cannot be evaluated is a failed rule."""
     problems = {r.name: _problem(df, r) for r in rules}
@@ -186,6 +191,8 @@ def run_suite(df: DataFrame, rules: list[Rule], suite: str = "default") -> DataF
             )
     passes = [one.select(F.explode(F.array(*rows)).alias("r"))] if rows else []
     passes += [_unique_pass(df, r) for r in usable if r.type == "unique"]
+    if not passes:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return reduce(DataFrame.unionByName, passes).select(F.lit(suite).alias("suite"), "r.*")
 
 
@@ -200,6 +207,8 @@ def failure_samples(df: DataFrame, rules: list[Rule], n: int = 5) -> DataFrame:
         .limit(n)
         for r in wanted
     ]
+    if not parts:
+        return df.sparkSession.createDataFrame([], "rule string, value string")
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -14,12 +14,14 @@ def _ordering(order: list[str]) -> list[Column]:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the highest ``order`` values per key.
+    """The row with the highest ``order`` values per key; of equal ones, always the
+    same by a hash of the whole row.
 
     Spark limits each key to one row per task before the shuffle (the rank filter
     is pushed below the exchange), so a hot key never meets in one task whole.
     """
-    w = W.partitionBy(*keys).orderBy(*_ordering(order))
+    hashed = [c for c in df.columns if "map<" not in df.schema[c].dataType.simpleString() and "variant" not in df.schema[c].dataType.simpleString()]
+    w = W.partitionBy(*keys).orderBy(*_ordering(order), F.xxhash64(*[F.col(f"`{c}`") for c in hashed]).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -90,15 +92,16 @@ def upsert_table(
 
     The merged rows are staged durably before the table is overwritten, so a lost
     executor or a failed write never reads a half-replaced partition. One writer
-    per table. Returns the number of batch rows loaded.
+    per table. A column new to the table is added; read the table with ``mergeSchema``.
+    Returns the number of batch rows loaded.
     """
     batch = materialize(latest_per_key(batch, keys, order), "upsert-batch")
-    # one value per calendar month at most
+    # as many values as the table has folders, which the file listing holds anyway
     touched = [r[0] for r in batch.select(partition).distinct().collect()]
     if not touched:
         return 0
     try:
-        target = spark.read.parquet(path)
+        target = spark.read.option("mergeSchema", True).parquet(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -108,7 +111,11 @@ def upsert_table(
             first = first.withColumn(c, now)
         write_partitioned(first, path, partition, "errorifexists", sort)
         return batch.count()
-    old = target.where(F.col(partition).isin(*touched))
+    for c in batch.columns:
+        if c not in target.columns:  # a column the table does not have yet: null for its rows
+            target = target.withColumn(c, F.lit(None).cast(batch.schema[c].dataType))
+    hit = F.col(partition).isin(*[t for t in touched if t is not None])
+    old = target.where(hit | F.col(partition).isNull() if None in touched else hit)
     merged = materialize(upsert(old, batch, keys, order, as_of), "upsert-merged")
     write_partitioned(merged, path, partition, "overwrite", sort)
     return batch.count()

@@ -114,39 +114,28 @@ def point_in_time(dim: DataFrame, day: Column | dt.date) -> DataFrame:
     return dim.where(day.between(F.col("valid_from"), F.col("valid_to")))
 
 
-def fact_span(facts: DataFrame, day: str) -> tuple[dt.date, dt.date] | None:
-    """First and last fact date; reads one column, returns two values."""
-    row = facts.agg(F.min(day), F.max(day)).first()
-    return None if row[0] is None else (row[0], row[1])
-
-
-def asof_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    day: str,
-    span: tuple[dt.date, dt.date] | None = None,
-    how: str = "inner",
-) -> DataFrame:
-    """Each fact with the version valid on its day.
-
-    Versions are cut into calendar years inside the span of the facts and joined
-    on (key, year) with the date range as residual. A key with very many facts or
-    versions is thereby spread over years, and a fact is compared only with the
-    versions of its own year; adaptive execution splits what is still skewed.
+def asof_join(facts: DataFrame, dim: DataFrame, key: str, day: str, how: str = "inner") -> DataFrame:
+    """Each fact with the version valid on its day; ``how`` is inner or left.
+
+    The facts are reduced to their distinct (key, day) and merged with the starts of
+    the versions; the last start up to a day is that day's version, if it has not
+    ended. A key has at most one such row for a day of the calendar, however many
+    facts it has. The facts then join on plain (key, day), so a hot key is spread over
+    its days. Versions of a key must not overlap, as the history keeps them.
     """
-    span = span or fact_span(facts, day)
-    if span is None:
-        span = (OPEN_END, OPEN_END)
-    first, last = (F.lit(d) for d in span)
-    start = F.greatest(F.col("valid_from"), first)
-    end = F.least(F.col("valid_to"), last)
-    years = F.explode(F.sequence(F.year(start), F.year(end))).alias("_year")
-    versions = dim.where((F.col("valid_from") <= last) & (F.col("valid_to") >= first) & (start <= end)).select("*", years)
-    left = facts.withColumn("_year", F.year(day))
-    on = (
-        (left[key] == versions[key])
-        & (left["_year"] == versions["_year"])
-        & left[day].between(versions["valid_from"], versions["valid_to"])
-    )
-    return left.join(versions, on, how).drop(versions[key]).drop("_year")
+    rest = [c for c in dim.columns if c != key]
+    as_date = facts.schema[day].dataType
+    version = F.struct(*[F.col(c) for c in rest])
+    kind = version_type(dim, rest)
+    days = facts.select(F.col(key).alias("_key"), F.col(day).alias("_day"), F.lit(1).alias("_asked")).distinct()
+    starts = dim.select(F.col(key).alias("_key"), F.col("valid_from").cast(as_date).alias("_day"), F.lit(0).alias("_asked"), version.alias("_version"))
+    marks = days.withColumn("_version", F.lit(None).cast(kind)).unionByName(starts)
+    w = W.partitionBy("_key").orderBy("_day", "_asked").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = marks.withColumn("_version", F.last("_version", ignorenulls=True).over(w)).where("_asked = 1")
+    found = found.where(F.col("_day") <= F.col("_version.valid_to")).drop("_asked")
+    joined = facts.join(found, (facts[key] == found["_key"]) & (facts[day] == found["_day"]), how)
+    return joined.select(*[facts[c] for c in facts.columns], *[F.col("_version")[c].alias(c) for c in rest])
+
+
+def version_type(dim: DataFrame, columns: list[str]):
+    return dim.select(F.struct(*[F.col(c) for c in columns]).alias("v")).schema["v"].dataType

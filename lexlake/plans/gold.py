@@ -57,7 +57,6 @@ def monthly_revenue_asof(
     transactions: DataFrame,
     counterparties: DataFrame,
     dim: DataFrame,
-    span: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Same, with name and country as they were on the transaction date.
 
@@ -68,8 +67,7 @@ def monthly_revenue_asof(
     ids = counterparties.select("counterparty_id", "external_id")
     facts = part.join(ids, "counterparty_id").drop("counterparty_id")
     history = dim.select("external_id", F.col("name").alias("counterparty_name"), "country_code", "valid_from", "valid_to")
-    span = span or scd2.fact_span(transactions, "transaction_date")
-    joined = scd2.asof_join(facts, history, "external_id", "transaction_date", span)
+    joined = scd2.asof_join(facts, history, "external_id", "transaction_date")
     n, total = F.sum("n"), F.sum("total")
     return joined.groupBy(
         F.col("external_id").alias("counterparty_external_id"),
@@ -104,7 +102,9 @@ def active_regulations(regulations: DataFrame, documents: DataFrame, as_of: dt.d
         .groupBy(*keys)
         .agg(F.count_distinct("entity_id").alias("affected_entities"))
     )
-    return counted.join(affected, keys, "left").select(
+    affected = affected.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return counted.join(affected, same, "left").select(
         *keys, "regulation_count", F.coalesce("affected_entities", F.lit(0)).alias("affected_entities")
     )
 

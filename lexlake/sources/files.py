@@ -50,19 +50,6 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-# a scan of more tasks than this is parallel enough to be left alone on any cluster
-FEW_TASKS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give the rows of a scan to all cores when the scan has only a few tasks, as
-    with one compressed or single-block file. Meant for a plain scan in front of
-    costly row work; a scan that is parallel already is not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df.rdd.getNumPartitions()
-    return df.repartition(cores) if tasks < cores and tasks <= FEW_TASKS else df
-
-
 def tag_lineage(df: DataFrame, batch_id: str, source_system: str, source_name: str, extracted_at: Column | None = None) -> DataFrame:
     """Stamp where and when the rows came in. Columns read from files also get the
     name of the file they came from."""

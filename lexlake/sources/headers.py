@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,8 +44,11 @@ CONFIDENT = 0.5
 
 
 def header_rows(lines: DataFrame, file: str = "file", line: str = "header", sep: str = ",") -> DataFrame:
-    """(file, headers) from one header line per file."""
-    return lines.select(F.col(file).alias("file"), F.split(line, sep).alias("headers"))
+    """(file, headers) from one header line per file. The separator is taken as it is;
+    inside double quotes it does not separate."""
+    outside = re.escape(sep) + '(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    bare = F.transform(F.split(line, outside), lambda h: F.regexp_replace(h, '^\\s*"(.*)"\\s*$', "$1"))
+    return lines.select(F.col(file).alias("file"), F.transform(bare, lambda h: F.replace(h, F.lit('""'), F.lit('"'))).alias("headers"))
 
 
 def detect(headers: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from lexlake.catalog.registry import callables, oracles
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = callables()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")

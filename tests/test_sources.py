@@ -143,13 +143,6 @@ def test_source_registry(spark, tmp_path):
         files.read_source(spark, "nope")
 
 
-def test_spread_only_when_needed(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert files.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(10, numPartitions=cores + 5)
-    assert files.spread(wide) is wide
-
-
 DETECT = [
     ("doc_id,date,type,title,jurisdiction", "legal_documents", 1.0),
     ("External ID, Name ,tax-id,Country_Code,risk score", "counterparties", 1.0),
