@@ -6,18 +6,22 @@ has a hash function of its own; registers filled by a prefix of one hash stay em
 short documents.) Runs of registers are bands; documents with an equal band are
 candidates. They are never paired off: each band bucket first links its members to one
 leader. Only buckets that then still hold several components compare members across
-components, inside the join, by a longer bit sketch that rides along. The estimate from the
-registers, corrected for chance agreement, throws out the clearly unlike; the rest is
-confirmed on the full sets.
+components, inside the join, by two longer bit sketches that ride along: bits of least
+values, and parities of the shingles that fall into each of 4096 places (an odd sketch,
+which counts the shingles in which two sets differ nearly exactly while they are few).
+The estimate from the registers, corrected for chance agreement, throws out the clearly
+unlike; the rest is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexlake.llm.common import map_texts, text_of
@@ -30,9 +34,8 @@ MANTISSA = 10
 COLLISION = 0.169919487159739 / (1 << MANTISSA)
 #: A candidate goes on to confirmation if its estimate is within this of the threshold (over 6 deviations).
 SLACK = 0.15
-#: For comparing across components: sketch bits, and how many may differ for a pair at the
-#: threshold 0.8 (4.5 deviations over the mean of 205; a pair at 0.7 passes once in 300).
-BITS, MOST_DIFFER = 2048, 266
+#: For comparing across components: bits of least values and bits of parities.
+BITS, PARITIES = 2048, 4096
 #: Bytes of text hashed at once.
 SLICE = 1 << 20
 
@@ -199,19 +202,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return map_texts(met.select("u", "v", "su", "sv"), make, "u binary, v binary")
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each place is odd, packed."""
+    places = (_mix(s + _STEP) % np.uint64(PARITIES)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
+
+
 def bit_sketches(texts: DataFrame, width: int) -> DataFrame:
-    """(node, b0, b1, ...): one bit of the least value of each of 2048 hash functions."""
-    names = [f"b{i}" for i in range(BITS // 64)]
+    """(node, n, b0, b1, ..., p0, p1, ...): the set's size, one bit of the least value of
+    each of 2048 hash functions, and the parities of 4096 places."""
+    least, parity = [f"b{i}" for i in range(BITS // 64)], [f"p{i}" for i in range(PARITIES // 64)]
 
     def make():
         def apply(cols):
             sets = shingle_sets(cols["text"].to_pylist(), width)
             words = np.array([np.packbits((minima(s, _BIT_MUL, _BIT_ADD) >> np.uint32(12)).astype(np.uint8) & 1).view(np.int64) for s in sets])
-            return {"node": cols["node"], **{c: pa.array(words[:, i]) for i, c in enumerate(names)}}
+            odd = np.array([parities(s) for s in sets])
+            out = {"node": cols["node"], "n": [len(s) for s in sets]}
+            for names, values in ((least, words), (parity, odd)):
+                out |= {c: pa.array(values[:, i]) for i, c in enumerate(names)}
+            return out
 
         return apply
 
-    return map_texts(texts, make, "node binary, " + ", ".join(f"{c} long" for c in names))
+    return map_texts(texts, make, "node binary, n long, " + ", ".join(f"{c} long" for c in [*least, *parity]))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -310,7 +324,7 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
         if one_leader:
             heads = open_rows.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("node"))
             left = rows.join(heads, ["key", "node"], "left_semi")
-        pairs = materialize(across(left, rows, one_leader).join(asked, ["u", "v"], "left_anti"), "candidates")
+        pairs = materialize(across(left, rows, one_leader, percent).join(asked, ["u", "v"], "left_anti"), "candidates")
         more = accept(pairs)
         asked = asked.unionByName(pairs)
         if not more.isEmpty():
@@ -319,7 +333,8 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
                 of = labels.select(F.col("node").alias(c), F.col("comp").alias("of"))
                 ends = ends.join(of, c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
             labels = relabelled(labels, components(ends))
-            open_rows = still_open(open_rows.select("key", "node"), labels)
+            if one_leader:
+                open_rows = still_open(open_rows.select("key", "node"), labels)
     return labels
 
 
@@ -330,13 +345,28 @@ def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(named.join(still, "key", "left_semi"), "open")
 
 
-def across(left: DataFrame, right: DataFrame, any_order: bool) -> DataFrame:
-    """Pairs (u, v) of one bucket and different components whose bit sketches are close."""
+def across(left: DataFrame, right: DataFrame, any_order: bool, percent: int) -> DataFrame:
+    """Pairs (u, v) of one bucket and different components whose bit sketches are close.
+
+    Sets that are alike enough differ in at most ``most`` shingles, and two sketches of
+    parities never differ in more places than the sets do in shingles. In long sets
+    several fall into a place, so there the expected number and five deviations (at
+    most half the root of the places each) is less. Bits of least values may differ by
+    the expected number at the threshold and 4.5 deviations.
+    """
     left, right = left.alias("l"), right.alias("r")
     ell, r = F.col("l.node"), F.col("r.node")
-    differ = F.lit(0)
-    for i in range(BITS // 64):
-        differ = differ + F.bit_count(F.col(f"l.b{i}").bitwiseXOR(F.col(f"r.b{i}")))
-    met = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.comp")) & (differ <= MOST_DIFFER)
+
+    def differ(prefix: str, bits: int) -> Column:
+        each = [F.bit_count(F.col(f"l.{prefix}{i}").bitwiseXOR(F.col(f"r.{prefix}{i}"))) for i in range(bits // 64)]
+        return reduce(add, each)
+
+    most = (F.col("l.n") + F.col("r.n")) * (100 - percent) / (100 + percent)
+    seen = F.least(most, F.lit(PARITIES / 2) * (1 - F.exp(-2 * most / PARITIES)) + 2.5 * PARITIES**0.5)
+    share = (1 - percent / 100) / 2
+    bits = BITS * share + 4.5 * (BITS * share * (1 - share)) ** 0.5
+    met = (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") != F.col("r.comp"))
+    # a hair of room for the division
+    met = met & (differ("p", PARITIES) <= seen + 1e-6) & (differ("b", BITS) <= bits)
     met = left.join(right, met if any_order else met & (ell < r))
     return met.select(F.least(ell, r).alias("u"), F.greatest(ell, r).alias("v")).distinct()
