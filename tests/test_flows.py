@@ -107,18 +107,18 @@ def test_filings_ingestion(spark, tmp_path):
     for i, s in enumerate(SUBMISSIONS):
         (src / f"{i}.json").write_text(json.dumps(s))
     sub = pages.read_pages(spark, str(src), pages.SUBMISSION)
-    rows = [(0, 320193, "AAPL", "Apple Inc."), (1, 789019, "MSFT", "MICROSOFT CORP")]
+    rows = [(0, 1900417, "BWTC", "Brightwater Timber Co"), (1, 77012, "OSLK", "OSTLAKE MILLS LTD")]
     companies = spark.createDataFrame(rows, "position int, cik bigint, ticker string, title string")
     for _ in range(2):
         s = flows.filings_ingestion(spark, sub, companies, zones, "b1", T1)
-        assert (s.extracted, s.valid, s.loaded) == (3, 3, 3)
+        assert (s.extracted, s.valid, s.loaded) == (4, 4, 4)
     silver = spark.read.parquet(zones.path("silver", "legal_documents"))
-    assert silver.count() == 3
-    r = silver.where("source_id = '0000320193-24-000123'").first()
-    assert r.tags == ["10-k", "aapl"] and json.loads(r.metadata)["ticker"] == "AAPL"
+    assert silver.count() == 4
+    r = silver.where("source_id = '0001900417-23-000017'").first()
+    assert r.tags == ["10-k", "bwtc"] and json.loads(r.metadata)["ticker"] == "BWTC"
     other = Zones(str(tmp_path / "lake2"))
-    s = flows.filings_ingestion(spark, sub, companies, other, "b1", T1, dt.date(2024, 9, 1), ["10-K", "10-Q"], max_companies=1)
-    assert s.loaded == 1
+    s = flows.filings_ingestion(spark, sub, companies, other, "b1", T1, dt.date(2023, 3, 1), ["10-K", "10-Q"], max_companies=1)
+    assert s.loaded == 2
 
 
 def test_registry_ingestion(spark, tmp_path):
