@@ -131,6 +131,18 @@ def test_estimate_is_close():
         assert abs((share - near_dedup.COLLISION) / (1 - near_dedup.COLLISION) - common / (1000 - common)) < 0.12
 
 
+def test_parities_never_differ_in_more_places_than_sets():
+    rng = np.random.default_rng(2)
+    for size in (1, 20, 150, 3000):
+        a, other = (np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(2))
+        for share in (0.0, 0.1, 0.5, 1.0):
+            b = np.unique(np.concatenate([a[int(len(a) * share) :], other[: int(len(a) * share)]]))
+            apart = len(np.setxor1d(a, b))
+            seen = int(np.bitwise_count((near_dedup.parities(a) ^ near_dedup.parities(b)).view(np.uint64)).sum())
+            assert seen <= apart
+            assert abs(seen - near_dedup.PARITIES / 2 * (1 - np.exp(-2 * apart / near_dedup.PARITIES))) <= 2.5 * near_dedup.PARITIES**0.5
+
+
 def test_resharding(odd, none, docs, rows):
     from pyspark.sql import functions as F
 
