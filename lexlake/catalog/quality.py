@@ -380,16 +380,17 @@ def _(v):
             GROUP BY source_system, reference, transaction_date HAVING count(*) > 1)""",
 )
 def _(v):
+    contracts = v.contracts()
     rows = joins.constraint_report(
         {
             "amount_not_zero": (v.transaction_lines(), F.col("amount") != 0),
             "risk_score_range": (v.counterparties(), F.col("risk_score").between(0, 100)),
-            "total_value_not_negative": (v.contracts(), F.col("total_value") >= 0),
-            "end_not_before_start": (v.contracts(), F.col("end_date") >= F.col("start_date")),
+            "total_value_not_negative": (contracts, F.col("total_value") >= 0),
+            "end_not_before_start": (contracts, F.col("end_date") >= F.col("start_date")),
             "regulation_range": (v.regulations(), F.col("effective_to") >= F.col("effective_from")),
         }
     )
-    fk = joins.orphans(v.contracts(), v.counterparties(), "counterparty_id", "counterparty_id")
+    fk = joins.orphans(contracts, v.counterparties(), "counterparty_id", "counterparty_id")
     uniq = dq.unique_combination(v.transaction_lines(), "source_system", "reference", "transaction_date")
     for name, df in (("fk_contract_counterparty", fk), ("unique_transaction_key", uniq)):
         rows = rows.unionByName(df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations"))

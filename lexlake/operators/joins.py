@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,14 +75,18 @@ def first_key_history(dim: DataFrame, key: str) -> DataFrame:
 
 
 def constraint_report(checks: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
-    """Violations per named row constraint; null satisfies a constraint, as in SQL."""
-    parts = [
-        df.agg(F.count_if(~F.coalesce(ok, F.lit(True))).alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations"
-        )
-        for name, (df, ok) in checks.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Violations per named row constraint; null satisfies a constraint, as in SQL.
+
+    Checks that are given the same frame share one aggregate, so a table is read once.
+    """
+    tables: dict[int, tuple[DataFrame, dict[str, Column]]] = {}
+    for name, (df, ok) in checks.items():
+        tables.setdefault(id(df), (df, {}))[1][name] = ok
+    parts = []
+    for df, rules in tables.values():
+        counted = df.agg(*[F.count_if(~F.coalesce(ok, F.lit(True))).alias(f"c{i}") for i, ok in enumerate(rules.values())])
+        rows = [F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("violations")) for i, name in enumerate(rules)]
+        parts.append(counted.select(F.inline(F.array(*rows))))
+    if not parts:
+        raise ValueError("no checks given")
+    return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexlake.workspace import materialize
+
 BUCKETS = 1000
 SEARCH_STEPS = 10  # 2**10 > BUCKETS
 
@@ -42,7 +44,8 @@ def _rank_of(q: float):
 def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
     """p50 (mean of the middle pair), p95 and p99 (sorted[int(n*q)-1]), min, max.
 
-    1. Count equal values per group, which shrinks hot values on the map side.
+    1. Count equal values per group, which shrinks hot values on the map side. The
+       counts are stored, as each of the steps below reads them.
     2. Cut each group's values into about 1000 ranges by an approximate quantile
        sketch, and add up the rows per range.
     3. Keep only the ranges a wanted rank falls into, and find the rank there.
@@ -51,6 +54,7 @@ def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
     counted = df.where(F.col(value).isNotNull()).groupBy(group, F.col(value).alias("v")).agg(
         F.count(F.lit(1)).alias("c")
     )
+    counted = materialize(counted, "value-counts")
     cuts = counted.groupBy(group).agg(
         F.percentile_approx("v", [i / BUCKETS for i in range(1, BUCKETS)], 10 * BUCKETS).alias("cuts")
     )

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexlake.operators import dq, partitions
-from lexlake.plans import flows
+from lexlake.plans import flows, monitoring
 from lexlake.plans.flows import Zones
 from lexlake.sources import pages
 
@@ -52,6 +52,12 @@ def test_quality_gate_stops_or_drops(spark, tmp_path):
     path = lines(tmp_path / "t.csv", header, rows)
     with pytest.raises(dq.QualityError, match="currency_is_iso_3"):
         flows.commercial_ingestion(spark, zones, "b1", T1, transactions_csv=path)
+    stages = spark.read.parquet(zones.path("audit", "stages"))
+    assert {r.stage: r.error_type for r in stages.collect()} == {"land": None, "validate": None, "quality": "QualityError"}
+    rules = spark.read.parquet(zones.path("audit", "quality")).where("failed")
+    assert "currency_is_iso_3" in {r.rule for r in rules.collect()}
+    samples = spark.read.parquet(zones.path("audit", "quality_samples")).where("rule = 'currency_is_iso_3'")
+    assert [r.value for r in samples.collect()] == ["US1"]
     # rejects were written before the gate
     assert spark.read.parquet(zones.path("quarantine", "transactions")).count() == 1
     s = flows.commercial_ingestion(spark, zones, "b1", T1, transactions_csv=path, on_error="drop")["transactions"]
@@ -98,6 +104,54 @@ def test_commercial_ingestion(spark, tmp_path):
     assert partitions.current_version(spark, zones.path("silver", "dim_counterparty")) == version
 
 
+def test_gold_tables_and_audit(spark, tmp_path, docs_csv):
+    zones = Zones(str(tmp_path / "lake"))
+    a = lines(tmp_path / "p.csv", "external_id,name,tax_id,country_code,risk_score", [("CP-1", "Company", "T1", "us", 10)])
+    header = "contract_number,counterparty_external_id,start_date,end_date,total_value,currency,status"
+    b = lines(tmp_path / "c.csv", header, [("CT-1", "CP-1", "2024-01-01", "2025-01-01", 1000, "USD", "ACTIVE")])
+    header = "transaction_date,contract_number,counterparty_external_id,amount,currency,transaction_type,reference,source_system"
+    # before and after the counterparty's history begins
+    rows = [(d, "CT-1", "CP-1", 5, "usd", "invoice", f"R-{d}", "erp") for d in ("2024-01-05", "2025-01-05")]
+    c = lines(tmp_path / "t.csv", header, rows)
+    flows.commercial_ingestion(spark, zones, "b1", T1, a, b, c)
+    regulations = [("R-1", "One", "US-NY", "2020-01-01", "", "tax"), ("R-2", "Two", "US-NY", "2020-01-01", "2021-01-01", "tax")]
+    r = lines(tmp_path / "r.csv", "code,title,jurisdiction,effective_from,effective_to,category", regulations)
+    s = flows.regulation_ingestion(spark, r, zones, "b1", T1)
+    assert (s.valid, s.loaded) == (2, 2)
+    flows.legal_ingestion(spark, docs_csv, zones, "b1", T1)
+    gold = lambda name: partitions.read_current(spark, zones.path("gold", name))
+    assert gold("monthly_revenue_by_counterparty").count() == 2
+    assert [x.month for x in gold("monthly_revenue_asof").collect()] == [dt.date(2025, 1, 1)]
+    assert gold("counterparty_risk_distribution").first().risk_tier == "LOW"
+    active = gold("active_regulations").first()
+    assert (active.category, active.regulation_count, active.affected_entities) == ("tax", 1, 0)
+    assert gold("legal_documents_by_jurisdiction").count() > 0
+    stages = spark.read.parquet(zones.path("audit", "stages"))
+    loads = {x.source: x.rows for x in stages.where("stage = 'load'").collect()}
+    assert loads == {"counterparties": 1, "contracts": 1, "transactions": 2, "regulations": 2, "legal_documents": 60}
+    # the same batch again replaces its rows, and the monitors read the table as it is
+    before = stages.count()
+    flows.legal_ingestion(spark, docs_csv, zones, "b1", T1)
+    stages = spark.read.parquet(zones.path("audit", "stages"))
+    assert stages.count() == before
+    assert monitoring.throughput(stages).count() == 5 and monitoring.error_count(stages).count() == 0
+    assert monitoring.failure_rate(spark.read.parquet(zones.path("audit", "quality"))).agg(F.max("failed")).first()[0] == 0
+
+
+def test_affected_entities(spark, tmp_path):
+    """An entity counts once for all documents that name a regulation; one without tax id does not."""
+    zones = Zones(str(tmp_path / "lake"))
+    r = lines(tmp_path / "r.csv", "code,title,jurisdiction,effective_from,effective_to,category", [("R-1", "One", "US-NY", "2020-01-01", "", "tax")])
+    flows.regulation_ingestion(spark, r, zones, "b1", T1)
+    code = json.dumps({"regulation_code": "R-1"})
+    rows = [("1", code, "US-NY", "T-1"), ("2", code, "US-NY", "T-1"), ("3", code, "US-NY", None), ("4", code, "US-NJ", "T-2")]
+    docs = spark.createDataFrame(rows, "document_id string, metadata string, jurisdiction string, entity_tax_id string")
+    docs.write.parquet(zones.path("silver", "legal_documents"))
+    flows.refresh_regulations(spark, zones, T1.date())
+    active = partitions.read_current(spark, zones.path("gold", "active_regulations")).first()
+    assert (active.regulation_count, active.affected_entities) == (1, 1)
+
+
 def test_filings_ingestion(spark, tmp_path):
     from test_sources import SUBMISSIONS
 
