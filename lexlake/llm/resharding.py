@@ -18,6 +18,8 @@ from lexlake.workspace import materialize, new_dir
 
 #: A document over 1/BIG of a shard's share is placed by itself; there are at most BIG x shards such.
 BIG = 64
+#: Of shard files; they hold all text twice, before and after.
+CODEC = "zstd"
 
 
 def min_cost_flow(supply: dict[int, int], capacity: dict[int, int], cost) -> dict[tuple[int, int], int]:
@@ -93,7 +95,7 @@ def level(room: list[int], total: int) -> list[int]:
     return share
 
 
-def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Put every document into one of ``shards`` shards of near equal bytes, moving the
     fewest bytes from the old ones.
 
@@ -101,7 +103,8 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     Returns id, size (UTF-8 bytes of the text plus 8), text_crc32, old_shard, shard and
     slot, which counts gaplessly from 0 in each shard. Rows that repeat id and text
     count each by itself but lie together if they are big. A null id or text is a value
-    like others; an empty table gives an empty result.
+    like others; an empty table gives an empty result. ``carry`` names columns of
+    ``docs`` to return as well.
     """
     rows = materialize(
         docs.select(
@@ -109,6 +112,7 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
             (F.octet_length(text_of(text_col)) + 8).cast("long").alias("size"),
             F.crc32(text_of(text_col)).alias("crc"),
             F.coalesce(old_shard.cast("int"), F.lit(0)).alias("old"),
+            *carry,
         ),
         "reshard-sizes",
     )
@@ -146,25 +150,62 @@ def reshard(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", tex
     small = small.join(F.broadcast(table), "old")
     fit = F.filter("cuts", lambda c: middle < c["upto"])
     small = small.withColumn("shard", F.coalesce(F.try_element_at(fit, F.lit(1)), F.element_at("cuts", -1))["shard"])
-    done = large.unionByName(small.select(*large.columns)).withColumn("__one", F.lit(1))
-    done = running(done, ["shard"], ["id", "crc"], "__one", "slot")
+    done = numbered(large.unionByName(small.select(*large.columns)))
+    return done.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"), "shard", "slot", *carry)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Add slot, the place of each row (id, crc, shard) in its shard."""
+    return running(rows.withColumn("__one", F.lit(1)), ["shard"], ["id", "crc"], "__one", "slot").drop("__one")
+
+
+def store(docs: DataFrame, old_shard) -> DataFrame:
+    """Write ``docs`` as a table of shards, one folder each, and read it back: all columns,
+    __row (a number of each row, as ids may be null or repeat) and __shard."""
+    path = new_dir(docs.sparkSession, "shards")
+    rows = docs.withColumns({"__row": F.monotonically_increasing_id(), "__shard": F.coalesce(old_shard.cast("int"), F.lit(0))})
+    rows.write.partitionBy("__shard").option("compression", CODEC).parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def reshard_stored(docs: DataFrame, old_shard, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Store ``docs`` in its old shards, reshard it and write the affected shards again.
+
+    Returns what ``reshard`` does, read from the shard files as they then are: the
+    rewritten ones and those that no document left or joined.
+    """
+    stored = store(docs, old_shard)
+    moves = reshard(stored, F.col("__shard"), shards, id_col, text_col, ("__row",)).select("__row", "old_shard", "shard")
+    path, affected = rewrite(stored, materialize(moves, "moves"), "__row", "__shard", old_col="__old")
+    kept = stored.where(~F.col("__shard").isin(affected)).withColumn("__old", F.col("__shard"))
+    new = docs.sparkSession.read.schema(kept.schema).parquet(path)
+    text = text_of(text_col)
+    now = kept.unionByName(new).select(
+        F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("crc"), F.col("__old").alias("old"), F.col("__shard").alias("shard")
+    )
+    done = numbered(materialize(now, "reshard-digests"))
     return done.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"), "shard", "slot")
 
 
-def rewrite(stored: DataFrame, moves: DataFrame, id_col: str = "doc_id", shard_col: str = "shard") -> tuple[str, list[int]]:
+def rewrite(stored: DataFrame, moves: DataFrame, id_col: str = "doc_id", shard_col: str = "shard", old_col: str | None = None) -> tuple[str, list[int]]:
     """Write again the shards of a stored table that lose or gain a document.
 
     ``stored`` holds rows with their present shard, ``moves`` id, old_shard and shard.
-    Ids must be unique. Returns the folder with the new files (one subfolder per
-    affected shard) and the affected shards; files of other shards stay as they are.
+    Ids must be unique in a shard; a null one is a value like others. A row without a
+    move stays in its shard. ``old_col`` names a column to add with the shard a row
+    came from. Returns the folder with the new files (one subfolder per affected
+    shard) and the affected shards; files of other shards stay as they are.
     """
     moved = moves.where("old_shard <> shard")
     touched = moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct()
     affected = sorted(r["s"] for r in touched.collect())
     path = new_dir(stored.sparkSession, "reshard")
-    new = moves.select(id_col, F.col("old_shard").alias(shard_col), F.col("shard").alias("__new"))
-    rows = stored.where(F.col(shard_col).isin(affected)).join(new, [id_col, shard_col])
-    rows.where(F.col("__new").isin(affected)).drop(shard_col).withColumnRenamed("__new", shard_col).repartition(
-        F.col(shard_col), F.pmod(F.xxhash64(id_col), F.lit(8))
-    ).write.partitionBy(shard_col).parquet(path)
+    new = moves.select(F.col(id_col).alias("__id"), F.col("old_shard").alias("__from"), F.col("shard").alias("__new"))
+    alike = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col(shard_col) == F.col("__from"))
+    rows = stored.where(F.col(shard_col).isin(affected)).join(new, alike, "left")
+    if old_col:
+        rows = rows.withColumn(old_col, F.col(shard_col))
+    rows = rows.withColumn(shard_col, F.coalesce("__new", shard_col)).drop("__id", "__from", "__new")
+    # written as joined: to gather a shard's rows first would send all text through a second shuffle
+    rows.write.partitionBy(shard_col).option("compression", CODEC).parquet(path)
     return path, affected

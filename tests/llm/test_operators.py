@@ -183,6 +183,40 @@ def test_rewrite_touches_only_what_moves(spark, docs):  # noqa: F811
     assert written.where("shard = 0").count() == docs.where("doc_id % 2 = 0").count() - 10
 
 
+def test_rewrite_keeps_rows_of_null_ids_and_rows_without_a_move(spark):  # noqa: F811
+    stored = spark.createDataFrame([(None, "a", 0), (1, "b", 0), (2, "c", 0), (3, "d", 1)], "doc_id long, text string, shard int")
+    moves = spark.createDataFrame([(None, 0, 2), (1, 0, 0)], "doc_id long, old_shard int, shard int")
+    path, affected = resharding.rewrite(stored, moves)
+    assert affected == [0, 2]
+    assert sorted((r.text, r.shard) for r in spark.read.parquet(path).collect()) == [("a", 2), ("b", 0), ("c", 0)]
+
+
+def test_reshard_stored_gives_what_the_files_hold(spark, odd, none, docs, sf_dir, monkeypatch):  # noqa: F811
+    from pyspark.sql import functions as F
+
+    from lexlake.llm import queries
+
+    paths, whole = [], resharding.rewrite
+    monkeypatch.setattr(resharding, "rewrite", lambda *a, **k: paths.append(whole(*a, **k)) or paths[-1])
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(16))
+    for df, got in ((odd, resharding.reshard_stored(odd, old, 4)), (docs, queries.op3_resharding(spark, sf_dir))):
+        got = got.collect()
+        path, affected = paths.pop(0)
+        held = spark.read.parquet(path)
+        assert set(df.columns) <= set(held.columns) and affected
+        name = lambda t: zlib.crc32((t or "").encode())
+        texts = sorted(((r.doc_id, name(r.text)) for r in df.collect()), key=str)
+        assert sorted(((r.doc_id, r.text_crc32) for r in got), key=str) == texts
+        files = sorted(((r.doc_id, name(r.text), r["__old"], r["__shard"]) for r in held.collect()), key=str)
+        assert sorted(((r.doc_id, r.text_crc32, r.old_shard, r.shard) for r in got if r.shard in affected), key=str) == files
+        assert all(r.shard == r.old_shard for r in got if r.shard not in affected)
+        slots = collections.defaultdict(list)
+        for r in got:
+            slots[r.shard].append(r.slot)
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert resharding.reshard_stored(none, old, 4).count() == 0
+
+
 def test_mixing(odd, none, docs):
     for df in (odd, docs):
         got = mixing.mix_counts(df).collect()
