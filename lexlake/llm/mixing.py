@@ -18,7 +18,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from lexlake.llm.common import running
-from lexlake.workspace import materialize
+from lexlake.workspace import materialize, new_dir
 
 #: Words in a block; shards of the output; weights by rank; how often a source may be repeated.
 BLOCK, SHARDS, WEIGHTS, REPEATS = 64, 16, (5, 2, 1), 3
@@ -146,18 +146,17 @@ def prepare(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry:
 def take(rows: DataFrame, seed: int = 17, block: int = BLOCK, shards: int = SHARDS) -> tuple[DataFrame, DataFrame, Mix]:
     """(rows with their ``at`` in the source's stream, pieces taken, plan).
 
-    A piece is (src, at, lo, hi, times): words lo to hi of the document that begins at
-    ``at`` are taken ``times`` times.
+    A piece is (src, at, lo, hi, shard, draw): words lo to hi of the document that begins
+    at ``at`` go to an output shard, by that draw of the source.
     """
     spark, rows = rows.sparkSession, materialize(rows, "mix-sizes")
     mix = Mix(rows, seed, block, shards)
-    times = mix.slots(spark).groupBy("src", "block").agg(F.count("*").alias("times"))
     placed = running(rows, ["src"], ["id", "h"], "size", "at")
     spans = placed.where("size > 0").select("src", "at", "size", F.explode(F.expr(f"sequence(at div {block}, (at + size - 1) div {block})")).alias("block"))
-    met = spans.join(times, ["src", "block"])
+    met = spans.join(mix.slots(spark), ["src", "block"])
     lo = F.greatest(F.col("block") * block - F.col("at"), F.lit(0))
     hi = F.least((F.col("block") + 1) * block - F.col("at"), F.col("size"))
-    return placed, met.select("src", "at", lo.alias("lo"), hi.alias("hi"), "times"), mix
+    return placed, met.select("src", "at", lo.alias("lo"), hi.alias("hi"), "shard", "draw"), mix
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, block: int = BLOCK) -> DataFrame:
@@ -169,7 +168,8 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the same mix. One line per source is held on the driver.
     """
     placed, pieces, mix = take(prepare(docs, id_col, text_col, source_col), seed, block)
-    words = pieces.groupBy("src", "at").agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken"))
+    words = pieces.groupBy("src", "at", "shard").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
+    words = words.groupBy("src", "at").agg(F.sum("taken").alias("taken"))
     some = placed.where("size > 0").join(words, ["src", "at"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     all_rows = some.unionByName(none).join(F.broadcast(mix.sources(docs.sparkSession)), "src")
@@ -177,15 +177,25 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, block: int = BLOCK) -> DataFrame:
-    """The mixed corpus itself, with the columns of ``docs``.
+    """The mixed corpus itself, with the columns of ``docs``; see ``mixed_shards``."""
+    return mixed_shards(docs, id_col, text_col, source_col, seed, block)[1].select(*docs.columns)
 
-    A document comes back once for each epoch that takes some of its blocks, with the
-    words of those blocks as text, white space as it was; ``n_chars``, if there, is
-    counted anew. Documents none of whose words are drawn are left out.
+
+def mixed_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, block: int = BLOCK, shards: int = SHARDS) -> tuple[str, DataFrame]:
+    """Write the mixed corpus by output shard; returns the folder (one subfolder per
+    shard, __shard=0 and so on) and its rows: the columns of ``docs`` and __shard.
+
+    A document comes once for each shard and epoch that take some of its blocks, with
+    the words of those blocks as text, white space as it was; ``n_chars``, if there, is
+    counted anew. Documents none of whose words are drawn are left out. A shard holds
+    the blocks that its multinomial draw gives it.
     """
     rows = prepare(docs, id_col, text_col, source_col, carry=True)
-    placed, pieces, mix = take(rows.drop("row"), seed, block)
-    lists = pieces.groupBy("src", "at").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "times"))).alias("pieces"))
+    placed, pieces, mix = take(rows.drop("row"), seed, block, shards)
+    plan = docs.sparkSession.createDataFrame(list(zip(mix.keys, [max(n, 1) for n in mix.blocks], strict=True)), "src string, blocks long")
+    pieces = pieces.join(F.broadcast(plan), "src").withColumn("epoch", F.expr("draw div blocks"))  # one line per source
+    lists = pieces.groupBy("src", "at", "shard", "epoch").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("pieces"))
+    lists = lists.groupBy("src", "at").agg(F.collect_list(F.struct("shard", "pieces")).alias("pieces"))
     by_key = placed.where("size > 0").join(lists, ["src", "at"]).groupBy("id", "h", "src").agg(F.collect_list("pieces").alias("all"))
     # rows alike in id, text and source share their pieces: each list is one of them
     met = rows.where("size > 0").alias("l").join(
@@ -193,14 +203,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).select("l.*", "r.all")
     met = met.groupBy("id", "h", "src").agg(F.first("row").alias("row"), F.first("all").alias("all"))
     met = met.select("row", F.explode("all").alias("pieces"))
-    met = met.select("row", "pieces", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("pieces", lambda p: p["times"])))).alias("epoch"))
-    taken = F.filter("pieces", lambda p: p["times"] >= F.col("epoch"))
+    met = met.select("row", F.explode("pieces").alias("one"))
     words = F.regexp_extract_all(F.col("row")[text_col], F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0))
-    cut = F.transform(taken, lambda p: F.array_join(F.slice("words", (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")), ""))
-    out = met.withColumn("words", words).withColumn("__text", F.array_join(cut, "")).drop("words", "pieces")
+    cut = F.transform("one.pieces", lambda p: F.array_join(F.slice("words", (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")), ""))
+    out = met.withColumn("words", words).withColumn("__text", F.array_join(cut, "")).drop("words")
     fields = []
     for c in docs.columns:
         x = F.col("row")[c]
         x = F.col("__text") if c == text_col else F.length("__text").cast(docs.schema[c].dataType) if c == "n_chars" else x
         fields.append(x.alias(c))
-    return out.select(*fields)
+    out = out.select(*fields, F.col("one.shard").alias("__shard"))
+    path = new_dir(docs.sparkSession, "mix")
+    out.repartition("__shard", F.pmod(F.xxhash64(id_col), F.lit(8))).write.partitionBy("__shard").parquet(path)
+    return path, docs.sparkSession.read.schema(out.schema).parquet(path)

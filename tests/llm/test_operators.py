@@ -238,6 +238,22 @@ def test_mixing(odd, none, docs):
     assert sorted(mixing.permute(k, np.full(1000, 1000), np.full(1000, 9))) == list(range(1000))
 
 
+def test_each_shard_of_the_mix_has_the_drawn_composition(spark):  # noqa: F811
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(64 * (1 + i % 3))), f"s{i % 3}") for i in range(90)]
+    df = table(spark, rows)
+    path, mixed = mixing.mixed_shards(df, shards=4)
+    assert mixed.columns == [*df.columns, "__shard"] and len([d for d in os.listdir(path) if d.startswith("__shard=")]) == 4
+    got = collections.Counter()
+    for r in spark.read.parquet(path).collect():
+        got[r["__shard"], r.source] += len(words(r.text))
+    sizes = [sum(len(words(t)) for _, t, s in rows if s == f"s{k}") for k in range(3)]
+    wanted = [mixing.draws(n, t, 64)[1] for n, t in zip(sizes, mixing.targets(sizes, [5, 2, 1]), strict=True)]
+    counts = mixing.multinomial_counts(wanted, 4, 17)
+    assert got == {(k, f"s{i}"): 64 * int(n) for k, line in enumerate(counts) for i, n in enumerate(line) if n}
+    other = mixing.mixed_shards(df, shards=2)[1]
+    assert {r["__shard"] for r in other.collect()} == {0, 1}
+
+
 def test_bpe(odd, none, docs):
     import tiktoken
 
