@@ -174,7 +174,8 @@ def estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are alike: 100 * |common| >= percent * |all|.
 
-    ``texts`` has one text for each node; only those of candidates are hashed again.
+    ``texts`` has the text of each node, again for each row alike in id and text; only
+    those of candidates are hashed again.
     """
 
     def hashed():
@@ -196,7 +197,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         return apply
 
     ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialize(map_texts(texts.join(ends, "node").select("node", "text"), hashed, "node binary, items binary"), "near-sets")
+    sets = materialize(map_texts(texts.join(ends, "node").select("node", "text").dropDuplicates(["node"]), hashed, "node binary, items binary"), "near-sets")
     met = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("su")), "u")
     met = met.join(sets.select(F.col("node").alias("v"), F.col("items").alias("sv")), "v")
     return map_texts(met.select("u", "v", "su", "sv"), make, "u binary, v binary")
@@ -267,22 +268,24 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Documents whose sets of ``width``-word shingles are alike to ``percent`` of their
     union are linked; a component's id is its smallest document id, and that document
-    stays. A text without words (or null) has an empty set and is linked with nothing.
+    stays (of several texts of that id, or if all ids are null, the one of least hash).
+    A text without words (or null) has an empty set and is linked with nothing.
     Equal sets are one node. Rows that repeat an id are each judged by their own text.
     A null id is ignored in the minimum. An empty table gives an empty result.
     """
     sketches = materialize(sketch(docs, id_col, text_col, width), "sketches")
     some = sketches.where("n > 0")
     nodes = materialize(
-        some.groupBy("node").agg(F.min("id").alias("first"), F.first("regs").alias("regs")), "nodes"
+        some.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first"), F.first("regs").alias("regs")), "nodes"
     )
-    labels = links(nodes, _one_text(docs, sketches, nodes, id_col, text_col), width, percent)
+    labels = links(nodes, _one_text(docs, nodes, id_col, text_col), width, percent)
     owner = nodes.select("node", "first").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    tops = owner.groupBy("comp").agg(F.min("first").alias("component_id"))
-    owner = owner.join(tops, "comp").select("node", "component_id")
-    linked = some.select("id", "h", "n", "node").join(owner, "node").select("id", "h", "n", "component_id")
-    alone = sketches.where("n = 0").select("id", "h", "n", F.col("id").alias("component_id"))
-    done = linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.col("id").isNull() & F.col("component_id").isNull()))
+    tops = owner.groupBy("comp").agg(F.min("first").alias("top"))
+    owner = owner.join(tops, "comp").select("node", F.col("top.id").alias("component_id"), F.col("top.h").alias("top_h"))
+    kept = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("h") == F.col("top_h"))
+    linked = some.select("id", "h", "n", "node").join(owner, "node").select("id", "h", "n", "component_id", kept.alias("kept"))
+    alone = sketches.where("n = 0").select("id", "h", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    done = linked.unionByName(alone)
     return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept", F.col("h").alias("text_xxhash64"))
 
 
@@ -293,11 +296,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__h")), "left_semi")
 
 
-def _one_text(docs, sketches, nodes, id_col, text_col) -> DataFrame:
-    """(node, text) for each node: the text of its first document."""
-    firsts = sketches.join(nodes.select("node", F.col("first").alias("id")), ["node", "id"], "left_semi").select("node", "id", "n").distinct()
+def _one_text(docs, nodes, id_col, text_col) -> DataFrame:
+    """(node, text): the text of each node's first row, which is found by id and hash of
+    the text. Rows alike in both come again."""
+    firsts = nodes.select("node", F.col("first.id").alias("__id"), F.col("first.h").alias("__h"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return texts.join(firsts, "id").select("node", "text")
+    return texts.join(firsts, F.col("id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h"))).select("node", "text")
 
 
 def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -315,7 +319,7 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataF
 
     labels = components(accept(asked))
     open_rows = still_open(members.select("key", "node"), labels)
-    open_texts = texts.join(open_rows.select("node").distinct(), "node", "left_semi").select("node", "text")
+    open_texts = texts.join(open_rows.select("node").distinct(), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
     bits = materialize(bit_sketches(open_texts, width), "open-bits")
     # another leader in each bucket first, which joins most of what belongs together; then all that is left
     for one_leader in (True, False):

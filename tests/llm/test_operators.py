@@ -122,6 +122,25 @@ def test_near_dedup_loses_no_link_in_chains_and_hot_groups(spark):  # noqa: F811
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(rows, 2))
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):  # noqa: F811
+    rng = random.Random(8)
+
+    def copies(n):
+        base = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(100)]
+        return [" ".join([*base[:-1], f"end{k}"]) for k in range(n)]
+
+    both_null, one_null, repeated = copies(2), copies(2), copies(1)
+    apart = repeated[0].split()
+    apart = " ".join([*apart[:-25], *(f"x{k}" for k in range(25))])  # same id, likeness under 0.8
+    rows = [(None, both_null[0], "s"), (None, both_null[1], "s"), (None, both_null[1], "s"), (7, one_null[0], "s"), (None, one_null[1], "s"), (9, repeated[0], "s"), (9, apart, "s"), (5, apart + " more", "s")]
+    df = table(spark, rows)
+    got = near_dedup.near_dedup(df, width=2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == sorted(brute_components(rows, 2), key=str)
+    stay = collections.Counter((r.doc_id, r.text) for r in near_dedup.drop_near_copies(df, width=2).collect())
+    assert len([t for i, t in stay if t in both_null]) == 1 and (None, one_null[1]) not in stay
+    assert {k for k in stay if k[1] not in both_null} == {(7, one_null[0]), (9, repeated[0]), (5, apart + " more")}
+
+
 def test_estimate_is_close():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
