@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexlake.llm import bpe, exact_dedup, fingerprints, mixing, near_dedup, quality, resharding, secrets, token_counts, toxicity
+from lexlake.llm import (
+    ann, bpe, exact_dedup, fill_middle, fingerprints, mixing, near_dedup, quality, resharding, secrets, token_counts, toxicity, whitening,
+)
 from lexlake.llm.common import documents
 
 #: Shards before and after.
@@ -61,10 +63,23 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(documents(spark, sf_dir), digests_only=True)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality, op2_toxicity, op3_resharding, op4_secret_scan, op5_byte_bpe,
         op6_token_counts, op7_source_mixing, op8_near_dedup, op9_exact_dedup, op10_fingerprints,
+        op11_fill_in_middle, op12_whitening, op13_nearest_neighbours,
     ]
     return {f.__name__: f for f in found}
 
@@ -73,4 +88,4 @@ def oracles() -> dict[str, str]:
     """The others can't be written in SQL: fitted models, regular expressions with positions,
     tokenizers, draws; likeness of all pairs takes SQL too long on whole tables. Tests hold
     those against brute force, exact round trips and held-out labels."""
-    return {"op9_exact_dedup": exact_dedup.ORACLE}
+    return {"op9_exact_dedup": exact_dedup.ORACLE, "op11_fill_in_middle": fill_middle.ORACLE}
