@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexlake.llm.common import map_texts, text_of
+from lexlake.llm.common import layout, map_texts, text_of
 
 #: Marks of the parts, three bytes each; shares out of 100 left plain and written suffix first.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -28,15 +28,6 @@ PLAIN, PSM, SPM = 0, 1, 2
 FORMS = ["plain", "psm", "spm"]
 
 
-def layout(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the texts end to end, and where each begins (one entry more than texts)."""
-    texts = texts.cast(pa.large_string())
-    _, offsets, data = texts.buffers()
-    begins = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if offsets else np.zeros(len(texts) + 1, np.int64)
-    whole = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    return whole[begins[0] : begins[-1]], begins - begins[0]
-
-
 def slices(size: int) -> Iterator[tuple[int, int]]:
     for lo in range(0, size, SLICE):
         yield lo, min(lo + SLICE, size)

@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from lexlake.llm.common import held_out, map_texts, sample_texts, text_of
 from lexlake.workspace import materialize
 
-#: Labelled documents to learn from at most, and the largest that take part, in bytes.
-SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 100_000
-#: Entries of the lexicon and exception phrases at most.
-ENTRIES, PHRASES = 5000, 5000
+#: Labelled documents to learn from at most; their texts take part whole.
+SAMPLE_ROWS = 20_000
 #: Letters in an entry.
-SHORTEST, LONGEST = 4, 12
+SHORTEST, LONGEST = 2, 24
+#: Characters of text counted at once.
+SLICE = 1 << 20
 THRESHOLD = 0.5
 
 # Characters that look like a Latin letter and have no decomposition to it.
@@ -38,34 +38,50 @@ HOMOGLYPHS = {
 }
 # Digits and signs written for letters.
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "€": "e"}
-#: Code points with a fold of their own; those above are letters of no entry.
-SPAN = 0x20000
+POINTS = 0x110000
+_table: list[np.ndarray] = []
 
 
 def fold_table() -> np.ndarray:
-    """For each code point the plain letter, a space, 1 for any other letter, or 0 to drop it."""
-    table = np.full(SPAN, ord(" "), dtype=np.uint8)
-    for point in range(SPAN):
-        ch = chr(point)
-        kind = unicodedata.category(ch)
-        if kind in ("Mn", "Me", "Cf"):
-            table[point] = 0
-            continue
-        base = next((c for c in unicodedata.normalize("NFKD", ch).lower() if unicodedata.category(c) not in ("Mn", "Me")), ch)
-        base = HOMOGLYPHS.get(base, DIGITS.get(base, base))
-        if "a" <= base <= "z":
-            table[point] = ord(base)
-        elif kind[0] in "LN":
-            table[point] = 1
-    return table
+    """For each code point the plain letter, a space, or 0 to drop it. Letters and numbers
+    of other scripts fold to their lower case."""
+    if not _table:
+        table = np.full(POINTS, ord(" "), dtype=np.uint32)
+        for point in range(POINTS):
+            ch = chr(point)
+            kind = unicodedata.category(ch)
+            if kind in ("Mn", "Me", "Cf"):
+                table[point] = 0
+            elif kind[0] in "LNS" or ch in DIGITS or not ch.isascii():
+                parts = [c for c in unicodedata.normalize("NFKD", ch).lower() if unicodedata.category(c) not in ("Mn", "Me")]
+                # a syllable of several letters that are not Latin stays whole
+                base = parts[0] if len(parts) == 1 or parts and parts[0].isascii() else ch
+                base = HOMOGLYPHS.get(base, DIGITS.get(base, base))
+                if "a" <= base <= "z" or kind[0] in "LN":
+                    table[point] = ord(base)
+        _table.append(table)
+    return _table[0]
 
 
 def fold(text: str, table: np.ndarray) -> str:
     """The folded text, with one space in front and behind."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    plain = table[np.minimum(points, SPAN - 1)]
-    plain = plain[plain != 0]
-    return " " + plain.tobytes().decode("ascii") + " "
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
+    plain = table[points]
+    return " " + plain[plain != 0].tobytes().decode("utf-32-le") + " "
+
+
+def slices(texts: list[str], labels: list[int]):
+    """Texts and labels in parts of about SLICE characters."""
+    part: list[tuple[str, int]] = []
+    size = 0
+    for text, label in zip(texts, labels, strict=True):
+        part.append((text, label))
+        size += len(text)
+        if size >= SLICE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 @dataclass
@@ -122,12 +138,13 @@ def _entries(rows: DataFrame) -> DataFrame:
         table = fold_table()
 
         def apply(cols):
-            seen = {0: Counter(), 1: Counter()}
-            for text, label in zip(cols["text"].to_pylist(), cols["label"].to_pylist(), strict=True):
-                words = set(fold(text, table).split())
-                seen[label].update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
-            keys = list(seen[0].keys() | seen[1].keys())
-            return {"entry": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]}
+            for part in slices(cols["text"].to_pylist(), cols["label"].to_pylist()):
+                seen = {0: Counter(), 1: Counter()}
+                for text, label in part:
+                    words = set(fold(text, table).split())
+                    seen[label].update({w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
+                keys = list(seen[0].keys() | seen[1].keys())
+                yield {"entry": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]}
 
         return apply
 
@@ -142,12 +159,13 @@ def _phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
         table, automaton = fold_table(), lexicon.automaton()
 
         def apply(cols):
-            seen = {0: Counter(), 1: Counter()}
-            for text, label in zip(cols["text"].to_pylist(), cols["label"].to_pylist(), strict=True):
-                folded = fold(text, table)
-                seen[label].update({f"{w} {_next_word(folded, e - n + 2)}" for e, (n, _, w) in automaton.iter(folded)})
-            keys = list(seen[0].keys() | seen[1].keys())
-            return {"phrase": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]}
+            for part in slices(cols["text"].to_pylist(), cols["label"].to_pylist()):
+                seen = {0: Counter(), 1: Counter()}
+                for text, label in part:
+                    folded = fold(text, table)
+                    seen[label].update({f"{w} {_next_word(folded, e - n + 2)}" for e, (n, _, w) in automaton.iter(folded)})
+                keys = list(seen[0].keys() | seen[1].keys())
+                yield {"phrase": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]}
 
         return apply
 
@@ -157,8 +175,9 @@ def _phrases(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> Lexicon:
     """Learn lexicon, exceptions and the final curve from labelled documents outside the
-    held-out fold. What comes to the driver is bounded by ``ENTRIES``, ``PHRASES`` and ``rows``."""
-    sample = sample_texts(docs, labels, label, rows, SAMPLE_BYTES, id_col, text_col).select("text", "label")
+    held-out fold. What comes to the driver are the entries and phrases found significant
+    in at most ``rows`` documents."""
+    sample = sample_texts(docs, labels, label, rows, id_col, text_col).select("text", "label")
     sample = materialize(sample, "toxic-sample")
     count = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n1, n0 = count.get(1, 0), count.get(0, 0)
@@ -180,13 +199,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     best = (
         fit.join(longer, ["entry", "toxic", "clean"], "left_anti")
         .select("entry", weight.alias("weight"))
-        .orderBy(F.desc("weight"), "entry")
-        .limit(ENTRIES)
         .collect()
     )
     lexicon = Lexicon({r["entry"]: float(r["weight"]) for r in best if r["weight"] > 0})
     if lexicon.weights:
-        fine = _phrases(sample, lexicon).where("clean >= 2 and clean > 4 * toxic").orderBy(F.desc("clean"), "phrase").limit(PHRASES)
+        fine = _phrases(sample, lexicon).where("clean >= 2 and clean > 4 * toxic")
         lexicon.exceptions = {r["phrase"] for r in fine.collect()}
     lexicon.coef = _curve(sample, lexicon)
     return lexicon
