@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
-from lexlake.llm.common import running
+from lexlake.llm.common import fresh, running
 from lexlake.workspace import materialize, new_dir
 
 #: Words in a block; shards of the output; weights by rank; how often a source may be repeated.
 BLOCK, SHARDS, WEIGHTS, REPEATS = 64, 16, (5, 2, 1), 3
 SPACE = r"\x20\x09-\x0D"
+#: Of the files of the mix; each task writes one for every shard it has rows of.
+CODEC = "zstd"
 
 
 def targets(sizes: list[int], weights: list[float], repeats: int = REPEATS) -> list[float]:
@@ -183,36 +185,45 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def mixed_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, block: int = BLOCK, shards: int = SHARDS) -> tuple[str, DataFrame]:
     """Write the mixed corpus by output shard; returns the folder (one subfolder per
-    shard, __shard=0 and so on) and its rows: the columns of ``docs`` and __shard.
+    shard, __shard=0 and so on) and its rows: the columns of ``docs`` and __shard (with
+    one more underscore in front if ``docs`` has a column of that name).
 
     A document comes once for each shard and epoch that take some of its blocks, with
     the words of those blocks as text, white space as it was; ``n_chars``, if there, is
     counted anew. Documents none of whose words are drawn are left out. A shard holds
     the blocks that its multinomial draw gives it.
     """
+    name = fresh(docs.columns, "__shard")[0]
     rows = prepare(docs, id_col, text_col, source_col, carry=True)
     placed, pieces, mix = take(rows.drop("row"), seed, block, shards)
     plan = docs.sparkSession.createDataFrame(list(zip(mix.keys, [max(n, 1) for n in mix.blocks], strict=True)), "src string, blocks long")
     pieces = pieces.join(F.broadcast(plan), "src").withColumn("epoch", F.expr("draw div blocks"))  # one line per source
     lists = pieces.groupBy("src", "at", "shard", "epoch").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("pieces"))
     lists = lists.groupBy("src", "at").agg(F.collect_list(F.struct("shard", "pieces")).alias("pieces"))
-    by_key = placed.where("size > 0").join(lists, ["src", "at"]).groupBy("id", "h", "src").agg(F.collect_list("pieces").alias("all"))
-    # rows alike in id, text and source share their pieces: each list is one of them
-    met = rows.where("size > 0").alias("l").join(
-        by_key.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.h") == F.col("r.h")) & (F.col("l.src") == F.col("r.src"))
-    ).select("l.*", "r.all")
-    met = met.groupBy("id", "h", "src").agg(F.first("row").alias("row"), F.first("all").alias("all"))
-    met = met.select("row", F.explode("all").alias("pieces"))
-    met = met.select("row", F.explode("pieces").alias("one"))
+    # rows alike in id, text and source share their pieces: each list is one of them. One plain key,
+    # so that the join and the grouping behind it need each text to be dealt once
+    key = F.sha2(F.concat_ws("|", F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("")), F.col("h").cast("string"), "src"), 256).alias("key")
+    by_key = placed.where("size > 0").join(lists, ["src", "at"]).select(key, "pieces").groupBy("key").agg(F.collect_list("pieces").alias("all"))
+    met = rows.where("size > 0").select(key, "row").join(by_key.hint("merge"), "key")
+    met = met.groupBy("key").agg(F.first("row").alias("row"), F.first("all").alias("all"))
     words = F.regexp_extract_all(F.col("row")[text_col], F.lit(f"[^{SPACE}]+[{SPACE}]*"), F.lit(0))
-    cut = F.transform("one.pieces", lambda p: F.array_join(F.slice("words", (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")), ""))
-    out = met.withColumn("words", words).withColumn("__text", F.array_join(cut, "")).drop("words")
+
+    def piece(words, p):
+        return F.array_join(F.slice(words, (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")), "")
+
+    # the words are cut once for a row, as the variable of a lambda, and all its pieces from them
+    cut = F.transform(
+        F.array(words),
+        lambda w: F.transform(F.flatten("all"), lambda one: F.struct(one["shard"].alias("shard"), F.array_join(F.transform(one["pieces"], lambda p: piece(w, p)), "").alias("text"))),
+    )
+    out = met.select("row", F.explode(cut[0]).alias("one"))
     fields = []
     for c in docs.columns:
         x = F.col("row")[c]
-        x = F.col("__text") if c == text_col else F.length("__text").cast(docs.schema[c].dataType) if c == "n_chars" else x
+        x = F.col("one.text") if c == text_col else F.length("one.text").cast(docs.schema[c].dataType) if c == "n_chars" else x
         fields.append(x.alias(c))
-    out = out.select(*fields, F.col("one.shard").alias("__shard"))
+    out = out.select(*fields, F.col("one.shard").alias(name))
     path = new_dir(docs.sparkSession, "mix")
-    out.repartition("__shard", F.pmod(F.xxhash64(id_col), F.lit(8))).write.partitionBy("__shard").parquet(path)
+    # written where the texts are: to gather a shard first would send the whole mix through a second shuffle
+    out.write.partitionBy(name).option("compression", CODEC).parquet(path)
     return path, docs.sparkSession.read.schema(out.schema).parquet(path)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexlake.llm.common import map_texts, text_of
+from lexlake.llm.common import fresh, map_texts, text_of
 from lexlake.workspace import materialize
 
 #: Registers in a band and bands: a pair at likeness 0.8 is missed by all bands once in two million.
@@ -292,8 +292,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, as they are, that stay: one document of each component."""
     found = near_dedup(docs, id_col, text_col, width, percent)
-    stay = found.where("kept").select(F.col(id_col).alias("__id"), F.col("text_xxhash64").alias("__h")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__h")), "left_semi")
+    of, h = fresh(docs.columns, "__id", "__h")
+    stay = found.where("kept").select(F.col(id_col).alias(of), F.col("text_xxhash64").alias(h)).distinct()
+    return docs.join(stay, F.col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(text_of(text_col)) == F.col(h)), "left_semi")
 
 
 def _one_text(docs, nodes, id_col, text_col) -> DataFrame:
