@@ -5,7 +5,7 @@ each distinct cut is split by the pattern. A recursive query turns the tokens of
 piece into rows (piece, position, token), joins neighbours with the merge table and
 contracts each piece's leftmost pair of least rank, until no pair is left. Ordered
 aggregation then spells out ids and bytes. Spark partitions the documents; what a
-worker has met before is looked up.
+task has met before is looked up, and its database ends with it.
 
 Long pieces (runs of signs, strings without blanks) keep their tokens as rows: where
 merging a pair can not bring forth a pair of lower rank (known for each entry of the
@@ -22,14 +22,15 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexlake.llm.common import map_texts, text_of
 
-#: Bytes of pieces in a query, rows its rounds may bring forth, remembered segments of a worker.
-BYTES, GROWTH, REMEMBERED = 4_000_000, 12_000_000, 600_000
+#: Bytes of pieces in a query, rows its rounds may bring forth, tokens decoded in a query.
+BYTES, GROWTH, DECODED = 2_000_000, 6_000_000, 1_000_000
+#: Bytes that the segments a task remembers may take, and a database of its own beside; those of an executor's cores share DATABASES.
+REMEMBERED, DATABASES, DATABASE = 48 << 20, 400 << 20, 120 << 20
 #: Pieces up to so many bytes are contracted one pair a round.
 SHORT = 40
 #: Where a piece always begins, whatever lies around: at a blank in front of other than white
@@ -63,10 +64,10 @@ WITH RECURSIVE step(w, pos, tok, round) AS (
 SELECT w, pos, tok, round FROM step QUALIFY round = max(round) OVER (PARTITION BY w)
 """
 SPELL = """
-WITH toks AS (SELECT w, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM short_done UNION ALL SELECT w, tok, pos FROM long_done),
-     lists AS (SELECT segment, list(tok ORDER BY w::BIGINT * 4294967296 + pos) AS toks FROM toks JOIN pieces USING (w) GROUP BY segment)
-SELECT toks, array_to_string(toks, ' ') AS ids FROM lists ORDER BY segment
+WITH toks AS (SELECT w, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM short_done UNION ALL SELECT w, tok, pos FROM long_done)
+SELECT string_agg(tok::VARCHAR, ' ' ORDER BY w::BIGINT * 4294967296 + pos) AS ids FROM toks JOIN pieces USING (w) GROUP BY segment ORDER BY segment
 """
+DECODE = "SELECT w, string_agg(hex, '' ORDER BY pos) AS hex FROM given JOIN vocabulary USING (tok) GROUP BY w ORDER BY w"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,21 +75,42 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def read_merges(ranks: dict[bytes, int]) -> pa.Table:
+    """(l, r, merged): every way in which two tokens make a third."""
+    left, right, merged = [], [], []
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                left.append(a)
+                right.append(b)
+                merged.append(rank)
+    return pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int32())})
+
+
+_read: dict[str, tuple[dict[bytes, int], pa.Table]] = {}
+
+
+def vocabulary(path: str) -> tuple[dict[bytes, int], pa.Table]:
+    """Ranks and merges of a file, a few megabytes that a worker process reads once."""
+    if path not in _read:
+        ranks = read_ranks(path)
+        _read[path] = ranks, read_merges(ranks)
+    return _read[path]
+
+
 class Encoder:
     """An in-memory database with the vocabulary, and the pieces it has met."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: pa.Table | None = None, memory: int = DATABASES):
         import duckdb
         import regex
 
         self.ranks, self.pieces = ranks, regex.compile(pattern)
         self.db = duckdb.connect()
-        self.db.execute("SET threads = 1; SET memory_limit = '400MB'; SET preserve_insertion_order = false")
-        table = self._merges()
-        self.spelling = pa.array([t for t, _ in sorted(ranks.items(), key=lambda x: x[1])], pa.binary())
-        vocabulary = pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
-        self.db.register("table_m", table)
-        self.db.register("table_v", vocabulary)
+        self.db.execute(f"SET threads = 1; SET memory_limit = '{memory >> 20}MB'; SET preserve_insertion_order = false")
+        self.db.register("table_m", merges if merges is not None else read_merges(ranks))
+        self.db.register("table_v", pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM table_v")
         # a merge is alone if no merge of lower rank takes what it makes
         self.db.execute(
@@ -98,19 +120,11 @@ class Encoder:
         )
         self.base = np.array([ranks[bytes([k])] for k in range(256)], dtype=np.int32)
         self.ids: dict[str, str] = {}
-        # segments that do not decode to themselves; all others do
-        self.odd: dict[str, bytes] = {}
-
-    def _merges(self) -> pa.Table:
-        left, right, merged = [], [], []
-        for token, rank in self.ranks.items():
-            for i in range(1, len(token)):
-                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
-                if a is not None and b is not None:
-                    left.append(a)
-                    right.append(b)
-                    merged.append(rank)
-        return pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "merged": pa.array(merged, pa.int32())})
+        self.held = 0
+
+    def close(self) -> None:
+        self.ids.clear()
+        self.db.close()
 
     def arrow(self, sql: str) -> pa.Table:
         return self.db.sql(sql).to_arrow_table()
@@ -166,41 +180,54 @@ class Encoder:
                 size += len(segments[end])
                 end += 1
             part = segments[at:end]
-            found = self.contract([self.pieces.findall(s) for s in part])
-            self.ids.update(zip(part, found["ids"].to_pylist(), strict=True))
-            lists = found["toks"].combine_chunks()
-            spelled = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, self.spelling.take(lists.values)), b"")
-            own = pa.array([s.encode("utf-8", "replace") for s in part], pa.binary())
-            for i in pc.indices_nonzero(pc.not_equal(spelled, own)).to_pylist():
-                self.odd[part[i]] = spelled[i].as_py()
+            found = self.contract([self.pieces.findall(s) for s in part])["ids"].to_pylist()
+            self.ids.update(zip(part, found, strict=True))
+            # with what two strings and their places in a dictionary take
+            self.held += sum(map(len, part)) + sum(map(len, found)) + 220 * len(part)
             at = end
 
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of lists of ids, put together by ordered aggregation."""
+        lengths = np.array([len(i) for i in ids], dtype=np.int64)
+        of = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+        toks = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
+        parts: list[list[bytes]] = [[] for _ in ids]
+        for lo in range(0, len(toks), DECODED):
+            part = slice(lo, lo + DECODED)
+            given = pa.table({"w": of[part], "pos": np.arange(len(of[part]), dtype=np.int32), "tok": toks[part]})
+            self.db.register("given", given)
+            found = self.arrow(DECODE)
+            for w, text in zip(found["w"].to_pylist(), found["hex"].to_pylist(), strict=True):
+                parts[w].append(bytes.fromhex(text))
+        return [b"".join(p) for p in parts]
+
     def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
-        """Ids joined by blanks and the bytes they decode to, of each text."""
+        """Ids joined by blanks and the bytes that they decode to, of each text."""
         gc.disable()  # a million live strings and no cycles: collections only cost time
         try:
-            return self._encode(texts)
+            joined = self.join_ids(texts)
         finally:
             gc.enable()
+        return list(zip(joined, self.decode([as_ids(j) for j in joined]), strict=True))
 
-    def _encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
-        if len(self.ids) > REMEMBERED:
+    def join_ids(self, texts: list[str]) -> list[str]:
+        if self.held > REMEMBERED:
             self.ids.clear()
-            self.odd.clear()
+            self.held = 0
         cut = [CUT.split(t) for t in texts]
         for c in cut:
             if not c[0]:  # an empty text, or one that begins with the blank of a word
                 del c[0]
         self.learn(sorted(s for s in set().union(*cut) if s not in self.ids))
         ids = self.ids.__getitem__
-        spelled = (lambda s: self.odd.get(s) or s.encode("utf-8", "replace")) if self.odd else None
-        return [
-            (" ".join(map(ids, c)), b"".join(map(spelled, c)) if spelled else t.encode("utf-8", "replace"))
-            for t, c in zip(texts, cut, strict=True)
-        ]
+        return [" ".join(map(ids, c)) for c in cut]
+
 
+def as_ids(joined: str) -> np.ndarray:
+    return np.fromstring(joined, dtype=np.int32, sep=" ")
 
-def in_slices(texts: list[str], size: int = 4 << 20):
+
+def in_slices(texts: list[str], size: int = 1 << 20):
     """The texts in order, in lists of about that many characters."""
     part: list[str] = []
     total = 0
@@ -214,14 +241,14 @@ def in_slices(texts: list[str], size: int = 4 << 20):
         yield part
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+def encoder(path: str, pattern: str, memory: int = DATABASES) -> Encoder:
+    return Encoder(vocabulary(path)[0], pattern, vocabulary(path)[1], memory)
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """The encoder of this worker process for a vocabulary."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(read_ranks(path), pattern)
-    return _encoders[path, pattern]
+def memory_of(docs: DataFrame) -> int:
+    """What the database of one task may take, with as many tasks at a time as an executor has cores."""
+    cores = int(docs.sparkSession.conf.get("spark.executor.cores", "1"))
+    return max(DATABASE, DATABASES // max(cores, 1))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -233,21 +260,35 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     encoded each. An empty table gives an empty result.
     """
 
+    memory = memory_of(docs)
+
     def make():
-        machine = encoder(path, pattern)
+        machine = encoder(path, pattern, memory)
 
         def apply(cols):
-            found = [x for part in in_slices([t or "" for t in cols["text"].to_pylist()]) for x in machine.encode(part)]
+            found = [x for part in in_slices([t or "" for t in cols["text"].to_pylist()]) for x in digested(machine.encode(part))]
             out = {
                 "id": cols["id"],
-                "n_tokens": [ids.count(" ") + 1 if ids else 0 for ids, _ in found],
-                "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in found],
-                "decoded_sha256": [hashlib.sha256(b).hexdigest() for _, b in found],
+                "n_tokens": [f[0] for f in found],
+                "ids_sha256": [f[1] for f in found],
+                "decoded_sha256": [f[2] for f in found],
             }
             if with_ids:
-                out["ids"] = pa.array([list(map(int, ids.split())) for ids, _ in found], pa.list_(pa.int32()))
+                out["ids"] = pa.array([f[3] for f in found], pa.list_(pa.int32()))
             return out
 
+        def digested(encoded):
+            return [
+                (
+                    ids.count(" ") + 1 if ids else 0,
+                    hashlib.sha256(ids.encode()).hexdigest(),
+                    hashlib.sha256(decoded).hexdigest(),
+                    as_ids(ids) if with_ids else None,
+                )
+                for ids, decoded in encoded
+            ]
+
+        apply.close = machine.close
         return apply
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
@@ -259,17 +300,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per document: id and text, put together from its ids by ordered aggregation."""
 
+    memory = memory_of(tokens)
+
     def make():
-        db = encoder(path, pattern).db
+        machine = encoder(path, pattern, memory)
 
         def apply(cols):
-            ids = cols["ids"].to_pylist()
-            rows = [(w, pos, t) for w, ts in enumerate(ids) for pos, t in enumerate(ts or [])]
-            db.register("given", pa.table({k: pa.array([r[i] for r in rows], pa.int32()) for i, k in enumerate(("w", "pos", "tok"))}))
-            found = db.execute("SELECT w, string_agg(hex, '' ORDER BY pos) FROM given JOIN vocabulary USING (tok) GROUP BY w").fetchall()
-            texts = {w: bytes.fromhex(h).decode("utf-8", "replace") for w, h in found}
-            return {"id": cols["id"], "text": [texts.get(w, "") for w in range(len(ids))]}
+            ids = [np.array(i or [], dtype=np.int32) for i in cols["ids"].to_pylist()]
+            return {"id": cols["id"], "text": [b.decode("utf-8", "replace") for b in machine.decode(ids)]}
 
+        apply.close = machine.close
         return apply
 
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
