@@ -7,5 +7,6 @@ from lexlake.catalog import (  # noqa: F401
     quality,
     reporting,
     state,
+    stored,
     validation,
 )

@@ -105,10 +105,15 @@ def publish(df: DataFrame, root: str, partition: str | None = None) -> int:
     if partition:
         writer = writer.partitionBy(partition)
     writer.option("partitionOverwriteMode", "static").parquet(f"{root.rstrip('/')}/v{version:06d}")
-    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").json(_pointer(root))
+    mark_published(spark, root, version)
     return version
 
 
+def mark_published(spark: SparkSession, root: str, version: int) -> None:
+    """Make a version current: one small file, written last."""
+    spark.range(1).coalesce(1).select(F.lit(version).alias("version")).write.mode("append").json(_pointer(root))
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version == 0:

@@ -92,9 +92,7 @@ def land(df: DataFrame, zones: Zones, name: str, batch_id: str, system: str, as_
     path = zones.path("bronze", name)
     stamped = files.tag_lineage(df, batch_id, system, name, F.lit(as_of))
     sinks.write_bronze(stamped, path, F.lit(as_of.date()), batch_id)
-    # exactly this batch's folder and columns: other batches may have others
-    mine = f"{path}/ingestion_date={as_of.date().isoformat()}/_batch={batch_id}"
-    return df.sparkSession.read.schema(stamped.schema).parquet(mine).select(*df.columns)
+    return sinks.read_bronze(df.sparkSession, path, stamped.schema, as_of.date(), batch_id).select(*df.columns)
 
 
 def check(df: DataFrame, contract: Contract, zones: Zones, name: str, batch_id: str, as_of: dt.datetime, summary: Summary) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,17 @@ def write_bronze(df: DataFrame, path: str, ingestion_date: Column, batch_id: str
     )
 
 
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, batch_id: str) -> DataFrame:
+    """One batch as it was landed, with the columns given: other batches may have others.
+
+    The batch id may hold any characters: it is compared as a value, with a stated type,
+    since Spark escapes it in the folder's name and takes one like ``007`` for a number.
+    The day's folder alone is listed.
+    """
+    stored = T.StructType([*[f for f in schema.fields if f.name != "_batch"], T.StructField("_batch", T.StringType())])
+    return spark.read.schema(stored).parquet(f"{path}/ingestion_date={day.isoformat()}").where(F.col("_batch") == F.lit(batch_id))
+
+
 def write_quarantine(rejected: DataFrame, path: str, batch_id: str, rejected_at: Column | None = None) -> None:
     """Rejected rows with their errors, one folder per batch."""
     stamped = rejected.withColumn("rejected_at", F.current_timestamp() if rejected_at is None else rejected_at)

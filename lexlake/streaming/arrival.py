@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lexlake.operators import tables
 from lexlake.operators.keyed import upsert_table
 
 
@@ -76,3 +77,14 @@ def upsert_batches(path: str, keys: list[str], order: list[str], partition: str)
         upsert_table(batch.sparkSession, path, batch, keys, order, partition)
 
     return process
+
+
+def append_batches(root: str, keys: list[str], order: list[str], partition: str, compact_after: int = 16) -> Callable[[DataFrame, str], None]:
+    """Load each micro-batch as a delta of a versioned table (``operators.tables``): what
+    is written grows with the batch, a month's deltas are merged from time to time, and
+    a batch that is delivered again is left out by its number."""
+
+    def process(batch: DataFrame, batch_id: str) -> None:
+        tables.append(batch.sparkSession, root, batch, keys, order, partition, batch_id, compact_after)
+
+    return process
