@@ -1,16 +1,18 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Every run of 16 or more token characters is a hypothesis. Its encoding is inferred (the
-smallest alphabet that holds it); chi-squared uniformity, runs and serial correlation
-are tested over that alphabet and combined. Against ordinary text the likelihood ratio
-of the uniform alphabet gives an upper bound of the p-value, since its mean under
-ordinary text is at most one. A run is a secret if the battery does not speak against
-randomness and the p-value passes the Benjamini-Hochberg limit of its length class,
-taken over all runs of all documents.
+smallest alphabet that holds it); chi-squared uniformity, runs and serial correlation are
+tested over that alphabet and combined by Fisher's rule. How often ordinary text of the
+same length class falls into the encoding and does at least as well there is the p-value
+of the run. A run is a secret if it passes the Benjamini-Hochberg limit of its encoding
+and length class, taken over all runs of all documents. Random runs are rare: one that the uniform
+alphabet does not explain ``ODDS`` times as well as ordinary text is not looked at further;
+it counts as tested, and the p-values are those of passing both.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -29,9 +31,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
-#: Lengths at which classes begin; share of false discoveries allowed; level of the battery.
+#: Lengths at which classes begin; share of false discoveries allowed in each encoding and class.
 CLASSES = (16, 24, 32, 48, 96)
-FALSE_SHARE, BATTERY = 0.01, 0.001
+FALSE_SHARE = 0.01
+#: Odds taken against a run being random before its battery is looked at.
+ODDS = 1e6
+#: Share of a model's symbols from which on it is taken as wholly of an alphabet.
+MOSTLY = 0.75
+#: Levels of the combined battery at which ordinary text is compared; below the first a run is not random.
+LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+#: Draws for each of the eleven bridges from ordinary text to the uniform alphabet.
+DRAWS, BRIDGES = 200, 11
 #: p-values are kept in steps of half a power of ten, rounded up; the last step is open.
 STEPS = 80
 
@@ -49,7 +59,6 @@ ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=",
 )
 _SETS = [frozenset(a) for a in ALPHABETS]
-_PLACES = [{c: i for i, c in enumerate(a)} for a in ALPHABETS]
 
 # Letters of European prose by frequency, in tenths of a percent.
 LETTERS = dict(zip("etaoinsrhldcumfpgwybvkxjqz", (120, 85, 80, 72, 72, 72, 65, 65, 45, 42, 40, 30, 30, 26, 21, 20, 20, 19, 18, 15, 11, 8, 4, 3, 3, 3), strict=True))
@@ -77,50 +86,102 @@ def _models() -> np.ndarray:
 
 
 _MODELS = _models()
+#: Symbols in the order of their use in names, so that neighbours in it are alike in ordinary text.
+_ORDERS = [np.array(sorted(map(ord, a), key=lambda c: (-_MODELS[3, c], c))) for a in ALPHABETS]
+_PLACES = [{chr(c): i for i, c in enumerate(o)} for o in _ORDERS]
 
+_erfc = np.vectorize(math.erfc, otypes=[float])
 
-def _tail(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2))
 
+def _tail(z: np.ndarray) -> np.ndarray:
+    return 0.5 * _erfc(z / math.sqrt(2))
 
-def chi_squared(x: np.ndarray, size: int) -> float:
-    """p-value of equal use of the alphabet, its symbols taken in two to eight groups."""
-    groups = max(2, min(8, len(x) // 5, size))
-    seen = np.bincount(x * groups // size, minlength=groups)
+
+def chi_squared(x: np.ndarray, size: int, least: int) -> np.ndarray:
+    """p-values of equal use of the alphabet, one for each row of ``x``; symbols are taken in
+    two to eight groups, as many as runs of the ``least`` length fill."""
+    groups = max(2, min(8, least // 5, size))
+    n = x.shape[1]
+    group = x * groups // size
     share = np.bincount(np.arange(size) * groups // size, minlength=groups) / size
-    stat, free = float(((seen - len(x) * share) ** 2 / (len(x) * share)).sum()), groups - 1
+    stat = sum(((group == g).sum(axis=1) - n * share[g]) ** 2 / (n * share[g]) for g in range(groups))
+    free = groups - 1
     return _tail(((stat / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free)))
 
 
-def runs(x: np.ndarray, size: int) -> float:
-    """p-value of the number of runs in the upper and the lower half of the alphabet."""
+def runs(x: np.ndarray, size: int) -> np.ndarray:
+    """p-values of the number of runs in the upper and the lower half of the alphabet."""
     high = x * 2 >= size
-    a, b = int(high.sum()), int((~high).sum())
-    if not a or not b:
-        return 2.0 ** (1 - len(x))
-    n, found = a + b, 1 + int((high[1:] != high[:-1]).sum())
+    n = x.shape[1]
+    a = high.sum(axis=1).astype(float)
+    b = n - a
+    found = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
     mean = 1 + 2 * a * b / n
     var = (mean - 1) * (mean - 2) / (n - 1)
-    return 2 * _tail(abs(found - mean) / math.sqrt(var)) if var > 0 else 1.0
+    p = np.where(var > 0, 2 * _tail(np.abs(found - mean) / np.sqrt(np.where(var > 0, var, 1.0))), 1.0)
+    return np.where((a == 0) | (b == 0), 2.0 ** (1 - n), p)
+
+
+def serial(x: np.ndarray) -> np.ndarray:
+    """p-values of the correlation of a symbol with the next."""
+    n = x.shape[1]
+    y = x - x.mean(axis=1, keepdims=True)
+    total = (y * y).sum(axis=1)
+    ratio = (y[:, 1:] * y[:, :-1]).sum(axis=1) / np.where(total > 0, total, 1.0)
+    return np.where(total > 0, 2 * _tail(np.abs(ratio + 1 / n) * math.sqrt(n)), 0.0)
+
+
+def battery(x: np.ndarray, size: int, least: int) -> np.ndarray:
+    """The three p-values of each row combined by Fisher's rule: equal on 0 to 1 for random runs."""
+    h = -sum(np.log(np.clip(p, 1e-300, 1.0)) for p in (chi_squared(x, size, least), runs(x, size), serial(x)))
+    return np.exp(-h) * (1 + h + h * h / 2)
+
 
+def alphabet_of(run: str) -> int:
+    chars = set(run)
+    return next(k for k, s in enumerate(_SETS) if chars <= s)
 
-def serial(x: np.ndarray) -> float:
-    """p-value of the correlation of a symbol with the next."""
-    y = x - x.mean()
-    total = float((y * y).sum())
-    if total == 0:
-        return 0.0
-    n = len(x)
-    return 2 * _tail(abs(float((y[1:] * y[:-1]).sum()) / total + 1 / n) * math.sqrt(n))
 
+def passes(explained: np.ndarray | float, length: np.ndarray | int, size: int):
+    """Whether the uniform alphabet explains a run so much better than ordinary text does."""
+    return -length * math.log(size) - explained > math.log(ODDS)
 
-def battery(run: str, alphabet: int) -> float:
-    """The three p-values combined by Fisher's rule."""
-    place, size = _PLACES[alphabet], len(ALPHABETS[alphabet])
-    x = np.array([place[c] for c in run])
-    stat = -2 * sum(math.log(max(1e-300, min(1.0, p))) for p in (chi_squared(x, size), runs(x, size), serial(x)))
-    h = stat / 2
-    return math.exp(-h) * (1 + h + h * h / 2)
+
+def ordinary_tail(alphabet: int, least: int) -> list[float]:
+    """For each level, how often ordinary text of this length is of this alphabet, passes the odds and reaches it.
+
+    Rare events need draws that look random, frequent ones draws that look ordinary, so
+    symbols are drawn from bridges between both and weighted back (balance heuristic). Of
+    the models of ordinary text the one that reaches a level most often counts; a model
+    that is mostly of the alphabet is taken as wholly of it. Decimal numbers prove nothing.
+    """
+    order = _ORDERS[alphabet]
+    rng = np.random.default_rng(alphabet * 1000 + least)
+    size, out = len(order), np.zeros(len(LEVELS))
+    if size <= 10:
+        return [1.0] * len(LEVELS)
+    for model in _MODELS:
+        plain = model[order]
+        mass = float(np.exp(plain).sum())
+        plain = plain - math.log(mass)
+        inside = mass**least if mass < MOSTLY else 1.0
+        bridges = (1 - np.linspace(0, 1, BRIDGES))[:, None] * plain
+        bridges -= np.log(np.exp(bridges).sum(axis=1, keepdims=True))
+        x = np.concatenate([rng.choice(len(order), (DRAWS, least), p=np.exp(b)) for b in bridges])
+        chance = np.stack([b[x].sum(axis=1) for b in bridges])
+        top = chance.max(axis=0)
+        weight = np.exp(plain[x].sum(axis=1) - top - np.log(np.exp(chance - top).mean(axis=0)))
+        explained = np.max([m[order][x].sum(axis=1) for m in _MODELS], axis=0)
+        reached = np.where(passes(explained, least, size), battery(x, size, least), -1.0)
+        out = np.maximum(out, [inside * float((weight * (reached >= level)).mean()) for level in LEVELS])
+    return np.where(out > 0, np.minimum(out, 1.0), 1.0).tolist()  # a level that no draw reached proves nothing
+
+
+@functools.lru_cache(maxsize=1)
+def calibration() -> list[list[int]]:
+    """By alphabet and length class, the p-value step of each level (0: no evidence)."""
+    tails = [ordinary_tail(a, least) for a in range(len(ALPHABETS)) for least in CLASSES]
+    return [[max(0, min(STEPS, int(-2 * math.log10(max(p, 1e-300))))) for p in tail] for tail in tails]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -135,8 +196,11 @@ def joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def hypotheses(texts: list[str]) -> tuple[list[list[tuple[int, int, int, int]]], np.ndarray]:
-    """For each text its runs that look random (start, end, class, step); runs tested by text and class."""
+def hypotheses(texts: list[str], steps: list[list[int]]) -> tuple[list[list[tuple[int, int, int, int]]], np.ndarray]:
+    """For each text its runs that may be random (start, end, cell, step); runs tested by text and length class.
+
+    A cell is an encoding and a length class; ``steps`` is the calibration.
+    """
     found = [(d, m.start(), m.group()) for d, t in enumerate(texts) for m in RUN.finditer(t)]
     tested = np.zeros((len(texts), len(CLASSES)), dtype=np.int64)
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
@@ -148,26 +212,29 @@ def hypotheses(texts: list[str]) -> tuple[list[list[tuple[int, int, int, int]]],
     data = np.frombuffer("".join(r for _, _, r in found).encode("ascii"), dtype=np.uint8)
     plain = np.maximum.reduce([np.add.reduceat(m[data], np.cumsum(lengths) - lengths) for m in _MODELS])
     # no alphabet is smaller than ten symbols: runs that fail even with it need no closer look
-    for i in np.flatnonzero(-lengths * math.log(10) - plain > 0):
+    for i in np.flatnonzero(passes(plain, lengths, 10)):
         d, start, run = found[i]
-        chars = set(run)
-        alphabet = next(k for k, s in enumerate(_SETS) if chars <= s)
-        surplus = -len(run) * math.log(len(ALPHABETS[alphabet])) - plain[i]
-        step = min(STEPS, int(surplus / math.log(10) * 2))
-        if step > 0 and battery(run, alphabet) >= BATTERY:
-            out[d].append((start, start + len(run), int(classes[i]), step))
+        alphabet, k = alphabet_of(run), int(classes[i])
+        size, cell = len(ALPHABETS[alphabet]), alphabet * len(CLASSES) + k
+        if not passes(plain[i], len(run), size):
+            continue
+        place = _PLACES[alphabet]
+        reached = float(battery(np.array([[place[c] for c in run]]), size, CLASSES[k])[0])
+        level = int(np.searchsorted(LEVELS, reached, side="right")) - 1
+        if level >= 0 and steps[cell][level] > 0:
+            out[d].append((start, start + len(run), cell, steps[cell][level]))
     return out, tested
 
 
 def limits(tested: dict[int, int], found: dict[tuple[int, int], int], share: float = FALSE_SHARE) -> dict[int, int]:
-    """By class, the least step at which runs are discoveries (beyond the last step if none are)."""
+    """By cell, from the runs tested by length class and those found by cell and step, the least step at which runs are discoveries (beyond the last step if none are)."""
     out = {}
-    for k in range(len(CLASSES)):
-        out[k], above = STEPS + 1, 0
+    for cell in range(len(ALPHABETS) * len(CLASSES)):
+        out[cell], above = STEPS + 1, 0
         for step in range(STEPS, 0, -1):
-            above += found.get((k, step), 0)
-            if above and 10 ** (-step / 2) <= share / len(CLASSES) * above / max(1, tested.get(k, 0)):
-                out[k] = step
+            above += found.get((cell, step), 0)
+            if above and 10 ** (-step / 2) <= share * above / max(1, tested.get(cell % len(CLASSES), 0)):
+                out[cell] = step
     return out
 
 
@@ -177,22 +244,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Spans count code points of the whole text, ends exclusive. Runs inside a base span
     are not given again. A null text has no spans. Rows that repeat are scanned each by
     itself. An empty table gives an empty result. The limits come from two small counts
-    over all documents (five classes, eighty steps).
+    over all documents (one row for each encoding, length class and step).
     """
+    levels = calibration()
 
     def make():
         def apply(cols):
             texts = [t or "" for t in cols["text"].to_pylist()]
             base = [base_spans(t) for t in texts]
-            random, tested = hypotheses(texts)
+            random, tested = hypotheses(texts, levels)
             free = [[r for r in rs if not any(s <= r[0] and r[1] <= e for s, _, e in bs)] for rs, bs in zip(random, base, strict=True)]
             return {
                 "id": cols["id"],
                 **{f"n_{KINDS[k]}": [sum(x[1] == k for x in b) for b in base] for k in range(3)},
                 "base_sha256": [hashlib.sha256(joined(b).encode()).hexdigest() for b in base],
                 "base": [[{"start": s, "kind": k, "end": e} for s, k, e in b] for b in base],
-                "random": [[{"start": s, "kind": 3, "end": e, "class": c, "step": p} for s, e, c, p in f] for f in free],
-                "steps": [[{"class": c, "step": p} for _, _, c, p in r] for r in random],
+                "random": [[{"start": s, "kind": 3, "end": e, "cell": c, "step": p} for s, e, c, p in f] for f in free],
+                "steps": [[{"cell": c, "step": p} for _, _, c, p in r] for r in random],
                 "tested": tested.tolist(),
             }
 
@@ -203,14 +271,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     span = "start: int, kind: int, end: int"
     schema = (
         f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, base array<struct<{span}>>, "
-        f"random array<struct<{span}, class: int, step: int>>, steps array<struct<class: int, step: int>>, tested array<long>"
+        f"random array<struct<{span}, cell: int, step: int>>, steps array<struct<cell: int, step: int>>, tested array<long>"
     )
     first = materialize(map_texts(rows, make, schema), "secrets")
     totals = first.select(F.posexplode("tested").alias("class", "n")).groupBy("class").agg(F.sum("n").alias("n")).collect()
-    counts = first.select(F.explode("steps").alias("s")).groupBy("s.class", "s.step").count().collect()
-    least = limits({r["class"]: r["n"] for r in totals}, {(r["class"], r["step"]): r["count"] for r in counts})
-    bound = F.array(*(F.lit(least[k]) for k in range(len(CLASSES))))
-    added = F.filter("random", lambda r: r["step"] >= F.get(bound, r["class"]))
+    counts = first.select(F.explode("steps").alias("s")).groupBy("s.cell", "s.step").count().collect()
+    least = limits({r["class"]: r["n"] for r in totals}, {(r["cell"], r["step"]): r["count"] for r in counts})
+    bound = F.array(*(F.lit(least[k]) for k in range(len(least))))
+    added = F.filter("random", lambda r: r["step"] >= F.get(bound, r["cell"]))
     plain = F.transform(added, lambda r: F.struct(r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end")))
     spans = F.sort_array(F.concat("base", plain))
     names = F.array(*map(F.lit, KINDS))

@@ -338,13 +338,26 @@ def test_fingerprints(odd, none, docs):
     assert abs(np.mean(off)) < 0.02 and np.std(off) < 0.09
 
 
+def patterns(text):
+    """The base kinds by their definition, character by character with plain searches."""
+    found = []
+    for kind, pattern, part, least in (
+        ("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+        ("access", "AKIA[A-Z0-9]+", 0, 20),
+        ("hex", "[0-9a-f]+", 0, 24),
+    ):
+        found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m.group(part)) >= least]
+    order = ["assign", "access", "hex"]
+    return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(found, key=lambda x: (x[0], order.index(x[1]))))
+
+
 def test_secrets(odd, none, docs):
     for df in (odd, docs):
         texts = collections.defaultdict(list)
         for r in df.collect():
             texts[r.doc_id].append(r.text or "")
         for r in secrets.scan(df).collect():
-            wants = [hashlib.sha256(secrets.joined(secrets.base_spans(t)).encode()).hexdigest() for t in texts[r.doc_id]]
+            wants = [hashlib.sha256(patterns(t).encode()).hexdigest() for t in texts[r.doc_id]]
             assert r.base_sha256 in wants
             base = [s for s in r.spans.split(",") if s and not s.startswith("random")]
             assert hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
@@ -355,11 +368,49 @@ def test_secrets(odd, none, docs):
     rng = random.Random(2)
     noise = "".join(rng.choice(secrets.ALPHABETS[9]) for _ in range(40))
     plain = "thisisaverylongwordwithoutanyspacesinit"
-    found, tested = secrets.hypotheses([f"{plain} {noise}"])
+    found, tested = secrets.hypotheses([f"{plain} {noise}"], secrets.calibration())
     assert tested.sum() == 2 and [(s, e) for s, e, _, _ in found[0]] == [(len(plain) + 1, len(plain) + 41)]
     assert secrets.limits({0: 100}, {(0, 20): 3})[0] <= 20 and secrets.limits({0: 10**6}, {(0, 2): 3})[0] > secrets.STEPS
 
 
+def test_secrets_battery_is_level_on_random_runs():
+    rng = np.random.default_rng(8)
+    for alphabet, least in ((1, 32), (5, 48), (9, 48), (10, 96)):
+        size = len(secrets.ALPHABETS[alphabet])
+        p = secrets.battery(rng.integers(0, size, (4000, least)), size, least)
+        for level in (0.1, 0.5):
+            assert abs((p < level).mean() - level) < 0.08
+    words = np.array([[secrets._PLACES[9][c] for c in "thisIsTheNameOfAnOrdinaryThingInText1"]])
+    assert secrets.battery(words, 62, 32)[0] < 0.001
+
+
+def test_secrets_planted(spark):  # noqa: F811
+    """Planted keys by encoding and length: recall, and the share of false spans among those added."""
+    rng = random.Random(5)
+    words = "contract party agreement regulation article payment supplier invoice section transfer customer registry".split()
+    shapes = ("".join, lambda ws: "".join(w.title() for w in ws), "_".join, lambda ws: "/".join(ws) + "/77", lambda ws: "-".join(ws).upper())
+    kinds, lengths = {1: "hex", 2: "upper hex", 5: "base32", 6: "lower", 7: "upper", 9: "base62", 10: "base64"}, (24, 32, 64, 128)
+    docs, truth = [], {}
+    for d in range(1500):
+        text = ""
+        for _ in range(8):
+            if rng.random() < 0.05:
+                kind, n = rng.choice(list(kinds)), rng.choice(lengths)
+                truth[d, len(text), len(text) + n] = kind, n
+                text += "".join(rng.choice(secrets.ALPHABETS[kind]) for _ in range(n)) + " "
+            else:
+                text += rng.choice(shapes)([rng.choice(words) for _ in range(rng.randint(2, 8))]) + " "
+        docs.append((d, text))
+    rows = secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {(r.doc_id, int(s), int(e)) for r in rows for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k != "assign"}
+    assert len(got - set(truth)) <= 0.02 * len(got)
+    hit, planted = collections.Counter(v for k, v in truth.items() if k in got), collections.Counter(truth.values())
+    for kind in kinds:
+        long = sum(hit[kind, n] for n in lengths[2:]) / sum(planted[kind, n] for n in lengths[2:])
+        short = sum(hit[kind, n] for n in lengths[:2]) / sum(planted[kind, n] for n in lengths[:2])
+        assert long >= 0.8 and short >= 0.5, (kinds[kind], short, long)
+
+
 def held_out_accuracy(scored, labels, column):
     truth = {r.doc_id: r[column] for r in labels.collect()}
     pairs = [(truth[r.doc_id], r.predicted) for r in scored.collect() if r.held_out and r.doc_id in truth]
