@@ -180,15 +180,15 @@ def legal_ingestion(
     as_of: dt.datetime,
     on_error: str = "raise",
     default_source: str = "legal_csv",
-    multiline: bool = True,
+    whole_files: bool = False,
 ) -> Summary:
     """CSV of legal documents to Silver and Gold. With ``on_error="drop"``, as for
     uploads, a failed quality gate loads nothing and is reported. Texts may hold line
-    breaks; switch ``multiline`` off for files without, which are then split over tasks."""
+    breaks in quotes; files are split over tasks all the same (``whole_files``: see ``scan_csv``)."""
     name = "legal_documents"
     with audited(spark, zones, "legal", name, batch_id, as_of) as summary:
         with summary.stage("land"):
-            raw = land(files.scan_csv(spark, csv_path, multiline=multiline), zones, name, batch_id, "legal_csv", as_of)
+            raw = land(files.scan_csv(spark, csv_path, whole_files=whole_files), zones, name, batch_id, "legal_csv", as_of)
         with summary.stage("validate"):
             mapped = staging.map_legal_csv(raw, default_source)
             valid = check(mapped, contract_for("document"), zones, name, batch_id, as_of, summary)
@@ -302,16 +302,16 @@ def commercial_ingestion(
     contracts_csv: str | None = None,
     transactions_csv: str | None = None,
     on_error: str = "raise",
-    multiline: bool = False,
+    whole_files: bool = False,
 ) -> dict[str, Summary]:
     """Counterparties, contracts and transactions, in the order their keys need. Fields
-    with line breaks in quotes need ``multiline``, which reads each file in one task."""
+    may hold line breaks in quotes (``whole_files``: see ``scan_csv``)."""
     done: dict[str, Summary] = {}
     stamp = F.lit(as_of)
 
     def checked(path: str, name: str, kind: str, s: Summary) -> DataFrame:
         with s.stage("land"):
-            raw = land(files.scan_csv(spark, path, multiline=multiline), zones, name, batch_id, "commercial_csv", as_of)
+            raw = land(files.scan_csv(spark, path, whole_files=whole_files), zones, name, batch_id, "commercial_csv", as_of)
         with s.stage("validate"):
             return check(raw, contract_for(kind), zones, name, batch_id, as_of, s)
 
@@ -382,13 +382,13 @@ def refresh_revenue(spark: SparkSession, zones: Zones) -> None:
 
 
 def regulation_ingestion(
-    spark: SparkSession, csv_path: str, zones: Zones, batch_id: str, as_of: dt.datetime, multiline: bool = True
+    spark: SparkSession, csv_path: str, zones: Zones, batch_id: str, as_of: dt.datetime, whole_files: bool = False
 ) -> Summary:
     """CSV of regulations to Silver, and the table of active ones."""
     name = "regulations"
     with audited(spark, zones, "regulations", name, batch_id, as_of) as summary:
         with summary.stage("land"):
-            raw = land(files.scan_csv(spark, csv_path, multiline=multiline), zones, name, batch_id, "legal_csv", as_of)
+            raw = land(files.scan_csv(spark, csv_path, whole_files=whole_files), zones, name, batch_id, "legal_csv", as_of)
         with summary.stage("validate"):
             valid = check(raw, contract_for("regulation"), zones, name, batch_id, as_of, summary)
         with summary.stage("load"):

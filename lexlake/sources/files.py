@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexlake.sources import quoted
+
+#: Encodings whose text can be cut at line breaks and read as UTF-8.
+SPLIT_ENCODINGS = ("UTF-8", "UTF8", "US-ASCII", "ASCII")
+
 
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -20,26 +25,30 @@ def scan_csv(
     sep: str = ",",
     encoding: str = "UTF-8",
     header: bool = True,
-    multiline: bool = True,
+    whole_files: bool = False,
 ) -> DataFrame:
     """CSV as text columns; a malformed line fails the read.
 
     Typing is left to the row contracts: inferring it costs a pass over the file
-    and turns numeric-looking identifiers into numbers. With ``multiline`` a quoted
-    line break is data; switch it off for big files without such breaks, as they
-    can then be split over tasks. Without ``columns`` only the header is read to
-    name them.
+    and turns numeric-looking identifiers into numbers. Files are split over tasks,
+    those with line breaks in quotes too: one pass counts quotes, and only if some
+    record spans lines are records put together (``quoted``). Quotes must stand
+    around whole fields and be doubled within. With ``whole_files`` a task reads a
+    file from its start, for other uses of quotes; encodings in which a quote or a
+    line break is not its ASCII byte are always read so. Without ``columns`` only the
+    header is read to name them.
     """
-    reader = (
-        spark.read.option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("mode", "FAILFAST")
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-    )
+    options = {"sep": sep, "mode": "FAILFAST", "quote": '"', "escape": '"'}
+    reader = spark.read.options(**options).option("header", header).option("encoding", encoding).option("enforceSchema", False)
+    if not whole_files and encoding.upper() in SPLIT_ENCODINGS:
+        rows = quoted.lines(spark, path)
+        found = quoted.quoting(rows)
+        if found.unclosed:
+            raise ValueError(f"A quote is not closed in {found.unclosed}")
+        if found.spans_lines:
+            named = columns or quoted.names(spark, path, sep, header)
+            return quoted.parsed(quoted.records(rows, sep), named, options | {"multiLine": "true"}, header)
+    reader = reader.option("multiLine", whole_files or encoding.upper() not in SPLIT_ENCODINGS)
     if columns:
         return reader.schema(text_schema(columns)).csv(path)
     return reader.option("inferSchema", False).csv(path)
