@@ -178,19 +178,56 @@ EXPECTED = {
 
 @query(
     "expect_suite",
-    """SELECT column_name AS "column", expectation, position FROM (VALUES
-         ('amount', 'expect_column_values_to_not_be_null', 0), ('amount', 'expect_column_values_to_be_between', 1),
-         ('currency', 'expect_column_values_to_be_in_set', 2), ('reference', 'expect_column_values_to_be_unique', 3))
-         AS t(column_name, expectation, position)
-       WHERE EXISTS (SELECT 1 FROM v_transaction_lines)""",
+    """WITH t AS (SELECT amount, currency, reference FROM v_transaction_lines)
+       SELECT 'amount' AS "column", 'expect_column_values_to_not_be_null' AS expectation, 0 AS position,
+              count(*) FILTER (WHERE amount IS NULL) = 0 AS success FROM t HAVING count(*) > 0
+       UNION ALL SELECT 'amount', 'expect_column_values_to_be_between', 1,
+              count(*) FILTER (WHERE amount < -50000 OR amount > 90000) = 0 FROM t HAVING count(*) > 0
+       UNION ALL SELECT 'currency', 'expect_column_values_to_be_in_set', 2,
+              count(*) FILTER (WHERE currency NOT IN ('USD','EUR','GBP')) = 0 FROM t HAVING count(*) > 0
+       UNION ALL SELECT 'reference', 'expect_column_values_to_be_unique', 3,
+              count(reference) = count(DISTINCT reference) FROM t HAVING count(*) > 0""",
 )
 def _(v):
-    """The suite as evaluated: expectations in order, each with its verdict at hand."""
+    """The suite as evaluated: expectations in order, each with its verdict."""
     suite = ex.build_suite(EXPECTED)
     order = {e.type: i for i, e in enumerate(suite)}
     done = ex.validate(v.transaction_lines(), suite)
     index = F.create_map(*[F.lit(x) for p in order.items() for x in p])
-    return done.select("column", "expectation", index[F.col("expectation")].alias("position"))
+    return done.select("column", "expectation", index[F.col("expectation")].alias("position"), "success")
+
+
+def _sql_divergence(column: str, bin_of: str, bins: str) -> str:
+    """KL divergence of the rows since the cut from those before, one smoothed count a bin."""
+    return f"""SELECT '{column}' AS "column", round(sum(p / pn * ln((p / pn) / (q / qn))), 6) AS observed_value,
+                      sum(p / pn * ln((p / pn) / (q / qn))) <= 0.001 AS success
+               FROM (SELECT *, sum(p) OVER () AS pn, sum(q) OVER () AS qn FROM (
+                 SELECT count(t.late) FILTER (WHERE late) + 1.0::DOUBLE AS p, count(t.late) FILTER (WHERE NOT late) + 1.0::DOUBLE AS q
+                 FROM ({bins}) AS b(bin) LEFT JOIN t ON {bin_of} = b.bin GROUP BY b.bin))"""
+
+
+@query(
+    "expect_drift",
+    "WITH t AS (SELECT amount, currency, transaction_date >= DATE '1998-01-01' AS late FROM v_transaction_lines), "
+    "k AS (SELECT DISTINCT currency FROM t WHERE NOT late AND currency IS NOT NULL) "
+    + _sql_divergence(
+        "amount",
+        "CASE WHEN amount < 10000 THEN 0 WHEN amount < 40000 THEN 1 WHEN amount >= 40000 THEN 2 ELSE 3 END",
+        "SELECT * FROM range(4)",
+    )
+    + " UNION ALL "
+    + _sql_divergence(
+        "currency",
+        "CASE WHEN currency IS NULL THEN '-' WHEN currency IN (SELECT currency FROM k) THEN currency ELSE '+' END",
+        "SELECT currency FROM k UNION ALL SELECT '-' UNION ALL SELECT '+'",
+    ),
+)
+def _(v):
+    """Drift since a date as expectations, of a number and of a label."""
+    rows, cut = v.transaction_lines(), F.lit(dt.date(1998, 1, 1))
+    before = rows.where(F.col("transaction_date") < cut)
+    suite = [ex.drift_expectation(before, "amount", 0.001, edges=[10000, 40000]), ex.drift_expectation(before, "currency", 0.001)]
+    return ex.validate(rows.where(F.col("transaction_date") >= cut), suite).select("column", "observed_value", "success")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -41,6 +42,31 @@ ROW_EXPECTATIONS = {
     "expect_column_values_to_match_regex": lambda c, k: c.cast("string").rlike(k["regex"]),
     "expect_column_value_lengths_to_be_between": lambda c, k: _between(F.length(c), k),
 }
+def _bins(c: Column, edges: list | None, values: list | None) -> list[Column]:
+    """Conditions of which each value meets exactly one; nulls have the last bin. NaN is beyond all edges."""
+    if values is not None:
+        listed = [c.eqNullSafe(F.lit(v)) for v in values]
+        return [*listed, c.isNotNull() & ~c.isin(*values) if values else c.isNotNull(), c.isNull()]
+    if not edges:
+        return [c.isNotNull(), c.isNull()]
+    inner = [(c >= F.lit(a)) & (c < F.lit(b)) for a, b in zip(edges, edges[1:], strict=False)]
+    return [c < F.lit(edges[0]), *inner, c >= F.lit(edges[-1]), c.isNull()]
+
+
+def _divergence(c: Column, k: dict[str, Any]) -> Column:
+    """KL divergence of the column's bins from the stored counts; null for an empty table."""
+    s, stored = float(k.get("smoothing", 1.0)), k["counts"]
+    seen = [F.count_if(b).cast("double") + F.lit(s) for b in _bins(c, k.get("edges"), k.get("values"))]
+    if len(seen) != len(stored):
+        raise ValueError(f"{len(stored)} stored counts for {len(seen)} bins")
+    rows, total = F.count(F.lit(1)).cast("double") + F.lit(s * len(stored)), sum(stored) + s * len(stored)
+    terms = []
+    for p, n in zip(seen, stored, strict=True):
+        ratio = F.log(p / rows) - F.lit(math.log((n + s) / total)) if n + s > 0 else F.lit(float("inf"))
+        terms.append(F.when(p > 0, p / rows * ratio).otherwise(0.0))
+    return F.when(F.count(F.lit(1)) > 0, reduce(lambda a, b: a + b, terms))
+
+
 # aggregate expectations: the observed value to hold against min_value / max_value
 AGGREGATE_EXPECTATIONS = {
     "expect_column_mean_to_be_between": lambda c, k: F.avg(c.cast("double")),
@@ -50,6 +76,7 @@ AGGREGATE_EXPECTATIONS = {
     "expect_column_quantile_values_to_be_between": lambda c, k: F.percentile_approx(c, k["quantile"], 10000).cast(
         "double"
     ),
+    "expect_column_kl_divergence_to_be_less_than": _divergence,
     "expect_table_row_count_to_be_between": lambda c, k: F.count(F.lit(1)).cast("double"),
 }
 # expectations that need a shuffle on the column
@@ -183,6 +210,38 @@ def drift(reference: DataFrame, current: DataFrame, column: str, smoothing: floa
     )
 
 
+def drift_expectation(
+    baseline: DataFrame,
+    column: str,
+    max_value: float,
+    edges: list | None = None,
+    bins: int = 10,
+    values: int = 50,
+    smoothing: float = 1.0,
+) -> Expectation:
+    """An expectation that later data are distributed as the baseline's column is.
+
+    A numeric column is cut at ``edges``, or else into ``bins`` of about equal depth by a
+    quantile sketch; the rows of each bin are then counted exactly. Of other columns the
+    ``values`` most frequent ones have a bin each and all others share one. Nulls are a
+    bin. Only these counts are kept, and ``validate`` takes its side in the pass it
+    makes anyway. An empty baseline gives equal weights.
+    """
+    c = F.col(f"`{column}`")
+    numeric = isinstance(baseline.schema[column].dataType, T.NumericType)
+    listed = None
+    if numeric and edges is None:
+        cuts = baseline.agg(F.percentile_approx(c, [i / bins for i in range(1, bins)], 10000).alias("q")).first()["q"]
+        edges = sorted(set(cuts or []))
+    elif not numeric:
+        often = baseline.where(c.isNotNull()).groupBy(c.alias("v")).count().orderBy(F.desc("count"), "v").limit(values)
+        listed = [r["v"] for r in often.collect()]
+    counted = baseline.agg(*[F.count_if(b).alias(f"b{i}") for i, b in enumerate(_bins(c, edges, listed))]).first()
+    kept = {"edges": edges} if numeric else {"values": listed}
+    kwargs = {**kept, "counts": list(counted), "max_value": max_value, "smoothing": smoothing}
+    return Expectation("expect_column_kl_divergence_to_be_less_than", column, kwargs)
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column from a single pass with mergeable sketches: rows, nulls,
     approximate distinct values, min, max, mean and approximate quantiles."""

@@ -192,3 +192,30 @@ def test_freshness(spark):
     at = lambda h: dq.freshness(df, "t", F.expr(f"timestamp_ntz'2025-01-01 00:00:00' + interval '{h}' hour")).first()
     assert [at(h).status for h in (12, 13, 24, 25)] == ["ok", "warn", "warn", "error"]
     assert dq.freshness(df.where("false"), "t", F.expr("timestamp_ntz'2025-01-01 00:00:00'")).first().status == "error"
+
+
+def test_drift_expectation(spark):
+    base = spark.range(1000).selectExpr("CAST(id AS DECIMAL(12,2)) AS n", "CASE WHEN id % 10 < 7 THEN 'a' WHEN id % 10 < 9 THEN 'b' END AS v")
+    for column in ("n", "v"):
+        e = ex.drift_expectation(base, column, 0.01, bins=4)
+        assert sum(e.kwargs["counts"]) == 1000
+        row = ex.validate(base, [e]).first()
+        assert row.success and row.observed_value == pytest.approx(0, abs=1e-9)
+    moved = spark.range(1000).selectExpr("CAST(CASE WHEN id < 900 THEN id % 100 END AS DECIMAL(12,2)) AS n", "'c' AS v", "id")
+    e = ex.drift_expectation(base, "n", 0.01, bins=4)
+    edges, stored = [float(x) for x in e.kwargs["edges"]], e.kwargs["counts"]
+    assert all(240 <= c <= 260 for c in stored[:-1]) and stored[-1] == 0
+    seen = [0] * len(stored)
+    for r in moved.collect():
+        seen[-1 if r.n is None else sum(float(r.n) >= x for x in edges)] += 1
+    p, q = ([(c + 1) / (1000 + len(stored)) for c in side] for side in (seen, stored))
+    want = sum(a * math.log(a / b) for a, b in zip(p, q, strict=True))
+    row = ex.validate(moved, [e, *ex.build_suite({"id": [{"type": "expect_column_values_to_not_be_null"}]})]).collect()
+    assert [r.success for r in row] == [False, True] and row[0].observed_value == pytest.approx(want, abs=1e-6)
+    other = ex.validate(moved, [ex.drift_expectation(base, "v", 0.01)]).first()
+    assert not other.success
+    # a value no baseline row has is infinitely far without smoothing; an empty table is no evidence
+    assert ex.validate(moved, [ex.drift_expectation(base, "v", 0.01, smoothing=0)]).first().observed_value == math.inf
+    assert not ex.validate(base.limit(0), [e]).first().success
+    none = ex.drift_expectation(base.limit(0), "v", 9.0)
+    assert none.kwargs["values"] == [] and ex.validate(base, [none]).first().success
