@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lexlake.catalog.projections import TXN_KEY
 from lexlake.catalog.registry import query
 from lexlake.catalog.views import text_of
-from lexlake.operators import keyed, partitions, scd2
+from lexlake.operators import keyed, partitions, scd2, tables
 from lexlake.workspace import new_dir
 
 CUT = dt.date(2000, 1, 1)
@@ -175,9 +175,12 @@ def _(v):
        WHERE transaction_date >= DATE '1998-01-01' GROUP BY 1""",
 )
 def _(v):
-    rows = partitions.with_month(v.transaction_lines(), "transaction_date")
-    kept = partitions.retain(rows, "month", dt.date(1998, 1, 1))
-    return kept.groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
+    """A stored table by month; old months leave the version without being read."""
+    rows = partitions.with_month(v.transaction_lines(), "transaction_date").select(*TXN_KEY, "amount", "month")
+    root = new_dir(v.spark, "retention")
+    tables.replace_partitions(v.spark, root, rows, "month", set())
+    tables.drop_partitions(v.spark, root, lambda m: m is not None and m < "1998_01")
+    return tables.read(v.spark, root).groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(

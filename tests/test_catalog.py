@@ -30,7 +30,7 @@ def test_entry(spark, sf_dir):
 
 
 # queries that write files when built are left to test_query
-EAGER = {"scan_csv", "json_encode_sink", "arrival_stream", "stream_dedup_upsert", "upsert_partitioned_table"}
+EAGER = {"scan_csv", "retention", "json_encode_sink", "arrival_stream", "stream_dedup_upsert", "upsert_partitioned_table"}
 
 
 def plan_of(df) -> str:
