@@ -27,14 +27,20 @@ UPSERT_SQL = f"""SELECT source_system, reference, transaction_date,
        FROM ({_DEDUPED})"""
 
 
-def _loads(v):
+def _deliveries(v):
+    """The rows of the first load and of the batch, keys repeated as they come."""
     rows = v.transaction_lines(heavy=True).select(*TXN_KEY, "amount", "line_no")
-    stamp = F.lit(dt.datetime(2024, 5, 1))
-    first = keyed.latest_per_key(rows.where(F.col("transaction_date") < F.lit(CUT)), TXN_KEY, ["amount", "line_no"])
-    target = first.withColumns({"created_at": stamp, "updated_at": stamp})
+    first = rows.where(F.col("transaction_date") < F.lit(CUT))
     batch = rows.where(F.col("transaction_date") >= F.lit(OVERLAP)).withColumn(
         "amount", (F.col("amount") * 2).cast("decimal(18,2)")
     )
+    return first, batch
+
+
+def _loads(v):
+    first, batch = _deliveries(v)
+    stamp = F.lit(dt.datetime(2024, 5, 1))
+    target = keyed.latest_per_key(first, TXN_KEY, ["amount", "line_no"]).withColumns({"created_at": stamp, "updated_at": stamp})
     return target, batch
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lexlake.catalog.projections import TXN_KEY
 from lexlake.catalog.landing import MARK
 from lexlake.catalog.registry import query
-from lexlake.catalog.state import LOADED, UPSERT_SQL, _load_label, _loads
+from lexlake.catalog.state import LOADED, UPSERT_SQL, _deliveries, _load_label
 from lexlake.operators import partitions, summaries, tables
 from lexlake.plans import incremental
 from lexlake.streaming import arrival
@@ -19,11 +19,11 @@ from lexlake.workspace import new_dir
 @query("upsert_versioned_table", UPSERT_SQL)
 def _(v):
     """Two loads, the second twice, by partitions whose values look like numbers."""
-    first, batch = _loads(v)
+    first, batch = _deliveries(v)
     root = new_dir(v.spark, "versioned")
     part = F.date_format("transaction_date", "MM")
     order = ["amount", "line_no"]
-    tables.load(v.spark, root, first.drop("created_at", "updated_at").withColumn("part", part), TXN_KEY, order, "part", F.lit(dt.datetime(2024, 5, 1)))
+    tables.load(v.spark, root, first.withColumn("part", part), TXN_KEY, order, "part", F.lit(dt.datetime(2024, 5, 1)))
     for _ in range(2):
         tables.load(v.spark, root, batch.withColumn("part", part), TXN_KEY, order, "part", F.lit(LOADED))
     return tables.read(v.spark, root).select(*TXN_KEY, "amount", _load_label())
@@ -98,10 +98,10 @@ def _(v):
 )
 def _(v):
     """A summary by month and kind of load, brought up to date after each of three loads."""
-    first, batch = _loads(v)
+    first, batch = _deliveries(v)
     root, gold = new_dir(v.spark, "silver"), new_dir(v.spark, "gold")
     order, early = ["amount", "line_no"], F.lit(dt.datetime(2024, 5, 1))
-    first, batch = (partitions.with_month(rows, "transaction_date") for rows in (first.drop("created_at", "updated_at"), batch))
+    first, batch = (partitions.with_month(rows, "transaction_date") for rows in (first, batch))
     for rows, stamp in ((first, early), (batch, F.lit(LOADED)), (batch, F.lit(LOADED))):
         tables.load(v.spark, root, rows, TXN_KEY, order, "month", stamp)
         summaries.refresh(v.spark, root, gold, TXN_KEY, ["month", "load"], "amount", "month", lambda r: r.withColumn("load", _load_label()))

@@ -53,11 +53,23 @@ def upsert(
     target has them. Of several batch rows with one key the latest wins. With
     ``null_keys`` a null in a key is a value like others; else it matches nothing.
     """
+    return merge(target, latest_per_key(batch, keys, order), keys, as_of, update, null_keys)
+
+
+def merge(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    as_of: Column | None = None,
+    update: list[str] | None = None,
+    null_keys: bool = False,
+) -> DataFrame:
+    """``upsert`` of a batch that already has one row per key, which is not sorted again."""
     as_of = F.current_timestamp() if as_of is None else as_of
     stamps = [c for c in ("created_at", "updated_at") if c in target.columns]
     body = [c for c in target.columns if c not in keys and c not in stamps]
     update = body if update is None else [c for c in update if c in body]
-    new = latest_per_key(batch, keys, order).select(*keys, F.struct(*[F.col(c) for c in body]).alias("_new"))
+    new = batch.select(*keys, F.struct(*[F.col(c) for c in body]).alias("_new"))
     old = target.select(*keys, F.struct(*[F.col(c) for c in body + stamps]).alias("_old"))
     if null_keys:
         new = new.withColumnsRenamed({k: f"_new_{k}" for k in keys})

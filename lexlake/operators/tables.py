@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexlake.operators.keyed import latest_per_key, upsert
+from lexlake.operators.keyed import latest_per_key, merge
 from lexlake.operators.partitions import current_version, mark_published
 from lexlake.workspace import materialize
 
@@ -80,18 +80,25 @@ def _slot(partition: str) -> Column:
     return F.when(value.isNull(), "none").otherwise(F.concat(F.lit("p"), F.sha2(value, 256)))
 
 
-def _write(rows: DataFrame, root: str, partition: str, sort: list[str] | None) -> dict[str | None, str]:
-    """Write the rows, a folder for each partition value; returns the folders."""
+def _write(rows: DataFrame, root: str, partition: str, sort: list[str] | None) -> dict[str | None, tuple[str, int]]:
+    """Write the rows, a folder for each partition value; returns folder and rows of each.
+    The rows are worked out once and shuffled without the folder names."""
     folder = f"data/{uuid.uuid4().hex}"
-    rows = materialize(rows.withColumn(SLOT, _slot(partition)), "table-rows") if not sort else rows.withColumn(SLOT, _slot(partition))
-    out = rows.hint("rebalance", F.col(SLOT))
+    out = rows.hint("rebalance", F.col(f"`{partition}`")).withColumn(SLOT, _slot(partition))
     if sort:
         out = out.sortWithinPartitions(SLOT, *sort)
     out.write.mode("errorifexists").partitionBy(SLOT).parquet(f"{root.rstrip('/')}/{folder}")
     # as many lines as folders were written
     back = rows.sparkSession.read.schema(T.StructType([*out.schema.fields])).parquet(f"{root.rstrip('/')}/{folder}")
-    values = back.groupBy(F.col(f"`{partition}`").cast("string").alias("v"), SLOT).count().collect()
-    return {r["v"]: f"{folder}/{SLOT}={r[SLOT]}" for r in values}
+    values = back.groupBy(F.col(f"`{partition}`").cast("string").alias("v"), SLOT).agg(F.count("*").alias("n")).collect()
+    return {r["v"]: (f"{folder}/{SLOT}={r[SLOT]}", r["n"]) for r in values}
+
+
+def _within(partition: str, values: set[str | None]) -> Column:
+    """Whether the partition value, as text, is one of these; null is a value."""
+    value = F.col(f"`{partition}`").cast("string")
+    named = F.coalesce(value.isin(*[v for v in values if v is not None]), F.lit(False))
+    return named | value.isNull() if None in values else named
 
 
 def _rows(spark: SparkSession, root: str, of: Manifest, parts: list[Part]) -> DataFrame:
@@ -159,28 +166,40 @@ def load(
     """
     now = F.current_timestamp() if as_of is None else as_of
     before = manifest(spark, root)
-    new = materialize(latest_per_key(batch, keys, order), "load-batch")
-    counts = {r["v"]: r["n"] for r in new.groupBy(F.col(f"`{partition}`").cast("string").alias("v")).agg(F.count("*").alias("n")).collect()}
-    stamped = new.withColumns({c: now for c in ("created_at", "updated_at") if c not in new.columns})
-    schema = _merged_schema(before.schema, stamped.schema)
+    new = latest_per_key(batch, keys, order)
+    stamped = lambda rows: rows.withColumns({c: now for c in ("created_at", "updated_at") if c not in rows.columns})
+    schema = _merged_schema(before.schema, stamped(new).schema)
     after = replace(before, schema=schema, mark=mark or before.mark, batch=batch_id or before.batch)
     number = F.lit(before.version + 1).cast("long")
-    if counts:
+    inserted = lambda rows: _fitted(stamped(rows), schema).withColumn(LOAD, number)
+    if not before.parts:
+        # nothing to meet: the rows go from the dedupe into their folders
+        written = _write(inserted(new), root, partition, sort)
+        loaded = sum(n for _, n in written.values())
+        after = replace(after, parts=tuple(Part(v, f) for v, (f, _) in written.items()))
+    else:
+        new = materialize(new, "load-batch")
+        counts = {r["v"]: r["n"] for r in new.groupBy(F.col(f"`{partition}`").cast("string").alias("v")).agg(F.count("*").alias("n")).collect()}
+        loaded = sum(counts.values())
         hit = [p for p in before.parts if p.value in counts]
+        held = {p.value for p in hit}
+        rows = inserted(new.where(~_within(partition, held)) if hit else new)
         if hit:
             # rows the batch does not hold keep the number of the load that brought them
             numbered = T.StructType([*schema.fields, T.StructField(LOAD, T.LongType())])
             old = _fitted(_resolved(spark, root, before, hit, keys), numbered)
-            new = _fitted(new.withColumn(LOAD, number), T.StructType([f for f in numbered.fields if f.name not in ("created_at", "updated_at")]))
-            rows = upsert(old, new, keys, order, now, null_keys=True)
-        else:
-            rows = _fitted(stamped, schema).withColumn(LOAD, number)
-        written = _write(rows, root, partition, sort)
-        kept = [p for p in before.parts if p.value not in counts]
-        after = replace(after, parts=(*kept, *(Part(v, f) for v, f in written.items())))
+            # the value follows from the key, so only rows of partitions that are there can meet an old one
+            met = new.where(_within(partition, held)).withColumn(LOAD, number)
+            met = _fitted(met, T.StructType([f for f in numbered.fields if f.name not in ("created_at", "updated_at")]))
+            met = merge(old, met, keys, now, null_keys=True)
+            rows = met.unionByName(rows) if set(counts) - held else met
+        if counts:
+            written = _write(rows, root, partition, sort)
+            kept = [p for p in before.parts if p.value not in counts]
+            after = replace(after, parts=(*kept, *(Part(v, f) for v, (f, _) in written.items())))
     if after != before:
         _commit(spark, root, after)
-    return sum(counts.values())
+    return loaded
 
 
 def append(
@@ -204,13 +223,12 @@ def append(
         return 0
     new = latest_per_key(batch, keys, order)
     schema = _merged_schema(before.schema, new.schema)
-    rows = materialize(_fitted(new, schema).withColumn(LOAD, F.lit(before.version + 1).cast("long")), "delta")
-    n = rows.count()
-    written = _write(rows, root, partition, None) if n else {}
-    deltas = tuple(Part(v, f, True) for v, f in written.items())
+    rows = _fitted(new, schema).withColumn(LOAD, F.lit(before.version + 1).cast("long"))
+    written = _write(rows, root, partition, None)
+    deltas = tuple(Part(v, f, True) for v, (f, _) in written.items())
     _commit(spark, root, replace(before, schema=schema, parts=before.parts + deltas, batch=batch_id or before.batch))
     compact(spark, root, keys, partition, compact_after)
-    return n
+    return sum(n for _, n in written.values())
 
 
 def compact(spark: SparkSession, root: str, keys: list[str], partition: str, after: int = 1) -> int:
@@ -224,26 +242,40 @@ def compact(spark: SparkSession, root: str, keys: list[str], partition: str, aft
         rows = _resolved(spark, root, before, [p for p in before.parts if p.value in due], keys)
         written = _write(rows, root, partition, None)
         kept = tuple(p for p in before.parts if p.value not in due)
-        _commit(spark, root, replace(before, parts=(*kept, *(Part(v, f) for v, f in written.items()))))
+        _commit(spark, root, replace(before, parts=(*kept, *(Part(v, f) for v, (f, _) in written.items()))))
     return len(due)
 
 
-def changes(spark: SparkSession, root: str, keys: list[str], since: int) -> tuple[DataFrame, DataFrame]:
+def changes(spark: SparkSession, root: str, keys: list[str], since: int, partition: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows as they were, rows as they are) of the keys that loads after version ``since``
-    brought or that retention dropped. Only partitions with other folders than then are read."""
+    brought or that retention dropped. Only partitions with other folders than then are read.
+
+    With the ``partition`` column named, a partition whose rows were all brought since needs
+    no look at its keys: all it had was replaced."""
     old, new = manifest(spark, root, since), manifest(spark, root)
     other = {p.value for p in set(old.parts) ^ set(new.parts)}
     there = {p.value for p in new.parts}
-    now = _resolved(spark, root, new, [p for p in new.parts if p.value in other], keys).where(F.col(LOAD) > since)
-    added = materialize(now.drop(LOAD), "changed-rows")
+    changed = [p for p in new.parts if p.value in other]
+    now = _resolved(spark, root, new, changed, keys)
+    if any(p.delta for p in changed):
+        now = materialize(now, "changed-rows")  # merged once
+    brought = now.where(F.col(LOAD) > since)
+    added = brought.drop(LOAD)
     if not old.version:
         return added.limit(0), added
     wide = replace(old, schema=new.schema)
-    was = _resolved(spark, root, wide, [p for p in old.parts if p.value in other & there], keys)
-    named = added.select(*(F.col(f"`{k}`").alias(f"_c_{k}") for k in keys))
-    alike = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_c_{k}`")) for k in keys])
-    dropped = _resolved(spark, root, wide, [p for p in old.parts if p.value in other - there], keys)
-    return was.join(named, alike, "left_semi").unionByName(dropped).drop(LOAD), added
+    was = lambda values: _resolved(spark, root, wide, [p for p in old.parts if p.value in values], keys)
+    partly = other & there
+    if partition:
+        stayed = now.where(F.col(LOAD) <= since).select(F.col(f"`{partition}`").cast("string").alias("v"))
+        partly = {r["v"] for r in stayed.distinct().collect()}  # at most one line a folder
+    removed = was(other - partly)
+    if partly:
+        named = brought.where(_within(partition, partly)) if partition else brought
+        named = named.select(*(F.col(f"`{k}`").alias(f"_c_{k}") for k in keys))
+        alike = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_c_{k}`")) for k in keys])
+        removed = removed.unionByName(was(partly).join(named, alike, "left_semi"))
+    return removed.drop(LOAD), added
 
 
 def replace_partitions(spark: SparkSession, root: str, rows: DataFrame, partition: str, values: set[str | None], mark: str | None = None) -> None:
@@ -253,7 +285,7 @@ def replace_partitions(spark: SparkSession, root: str, rows: DataFrame, partitio
     schema = _merged_schema(before.schema, rows.schema)
     written = _write(_fitted(rows, schema).withColumn(LOAD, F.lit(before.version + 1).cast("long")), root, partition, None)
     kept = tuple(p for p in before.parts if p.value not in values)
-    _commit(spark, root, replace(before, schema=schema, parts=(*kept, *(Part(v, f) for v, f in written.items())), mark=mark or before.mark))
+    _commit(spark, root, replace(before, schema=schema, parts=(*kept, *(Part(v, f) for v, (f, _) in written.items())), mark=mark or before.mark))
 
 
 def drop_partitions(spark: SparkSession, root: str, drop: Callable[[str | None], bool]) -> list[str | None]:
