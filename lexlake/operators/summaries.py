@@ -37,10 +37,18 @@ def by_difference(
     asked only for groups whose least or greatest value was taken out and not reached
     by a new one. A group without rows is gone.
     """
+    return _moved(table, movement(removed, added, keys, measure), keys, measure, source)
+
+
+def movement(removed: DataFrame, added: DataFrame, keys: list[str], measure: str) -> DataFrame:
+    """Per group, summaries of the rows taken out and of the rows put in."""
     names = ["n", "total", "least", "most", "filled"]
     both = summarize(removed, keys, measure).withColumn("_side", F.lit("out")).unionByName(summarize(added, keys, measure).withColumn("_side", F.lit("in")))
     side = lambda s, c: F.max(F.when(F.col("_side") == s, F.col(c))).alias(f"{s}_{c}")
-    moved = both.groupBy(*keys).agg(*(side(s, c) for s in ("out", "in") for c in names))
+    return both.groupBy(*keys).agg(*(side(s, c) for s in ("out", "in") for c in names))
+
+
+def _moved(table: DataFrame, moved: DataFrame, keys: list[str], measure: str, source: Callable[[DataFrame], DataFrame]) -> DataFrame:
     met = table.alias("t").join(moved.alias("d"), _alike(keys, "t", "d"), "full_outer")
     had, out, new = (lambda c: F.col(f"t.{c}")), (lambda c: F.col(f"d.out_{c}")), (lambda c: F.col(f"d.in_{c}"))
     zero = F.lit(0)
@@ -89,8 +97,10 @@ def refresh(
     since = int(before.mark or 0)
     if now.version == since:
         return 0
-    removed, added = (derive(rows) for rows in tables.changes(spark, source_root, row_keys, since))
-    values = {r[0] for r in removed.select(partition).union(added.select(partition)).distinct().collect()}
+    removed, added = (derive(rows) for rows in tables.changes(spark, source_root, row_keys, since, partition))
+    # changed rows are read once; a few lines for each group are left of them
+    moved = materialize(movement(removed, added, keys, measure), "summary-movement")
+    values = {r[0] for r in moved.select(partition).distinct().collect()}
     held = {p.value for p in before.parts}
     if values & held:
         table = tables.read(spark, root, keep=lambda v: v in values)
@@ -101,6 +111,6 @@ def refresh(
         rows = derive(tables.read(spark, source_root, row_keys, keep=lambda v: v in values))
         return rows.alias("l").join(groups.alias("r"), _alike(keys, "l", "r"), "left_semi")
 
-    after = by_difference(table, removed, added, keys, measure, present)
+    after = _moved(table, moved, keys, measure, present)
     tables.replace_partitions(spark, root, after, partition, values, str(now.version))
     return len(values)
