@@ -110,12 +110,14 @@ class Views:
     def transaction_lines(self, heavy: bool = False) -> DataFrame:
         """Transactions without the counterparty: no join needed. ``heavy`` says that
         costly row work follows."""
+        return self._lines(self.rows("lineitem") if heavy else self.table("lineitem"))
+
+    def _lines(self, lines: DataFrame, *more: str) -> DataFrame:
         flag, status, k = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_orderkey")
         day = F.col("l_shipdate").cast("date")
         price = F.col("l_extendedprice").cast("decimal(18,2)")
         reference = F.concat(F.lit("TXN-"), text_of(k), F.lit("-"), text_of("l_linenumber"))
         source = pick(TXN_SOURCES, F.col("l_suppkey") % 3)
-        lines = self.rows("lineitem") if heavy else self.table("lineitem")
         return lines.select(
             F.sha2(F.concat_ws("|", source, reference, text_of(day)), 256).alias("transaction_id"),
             day.alias("transaction_date"),
@@ -132,13 +134,16 @@ class Views:
             (F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("ingested_at"),
             F.col("l_partkey").alias("line_no"),
             (k * 10 + F.col("l_linenumber")).alias("k"),
+            *more,
         )
 
     def transactions(self, heavy: bool = False) -> DataFrame:
-        owner = self.table("orders").select(
-            F.col("o_orderkey").alias("contract_id"), F.col("o_custkey").alias("counterparty_id")
-        )
-        return self.transaction_lines(heavy).join(owner, "contract_id")
+        """Lines meet their orders as they are stored: hashes, references and labels are
+        worked out behind the join, so its shuffle does not carry them."""
+        lines = self.rows("lineitem") if heavy else self.table("lineitem")
+        owner = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("counterparty_id"))
+        rows = self._lines(lines.join(owner, "l_orderkey"), "counterparty_id")
+        return rows.select("contract_id", *[c for c in rows.columns if c != "contract_id"])
 
     # --- documents and regulations ------------------------------------------------
 
