@@ -145,9 +145,13 @@ MV_SQL = f"""SELECT c.external_id AS counterparty_external_id, c.name AS counter
         FROM v_transactions t JOIN v_counterparties c USING (counterparty_id) WHERE {REVENUE} GROUP BY ALL"""
 
 
+def monthly_revenue(v):
+    return gold.monthly_revenue(v.transactions(), v.counterparties(), v.parts("lineitem"))
+
+
 @query("mv_monthly_revenue", MV_SQL)
 def _(v):
-    return gold.monthly_revenue(v.transactions(), v.counterparties())
+    return monthly_revenue(v)
 
 
 @query(
@@ -311,7 +315,7 @@ def _(v):
         FROM ({MV_SQL}) WHERE currency = 'USD' GROUP BY month ORDER BY month DESC LIMIT 12""",
 )
 def _(v):
-    return reports.revenue_rollup(gold.monthly_revenue(v.transactions(), v.counterparties()), "USD")
+    return reports.revenue_rollup(monthly_revenue(v), "USD")
 
 
 @query(
@@ -319,7 +323,7 @@ def _(v):
     f"SELECT month, {_money('sum(total_amount)')} AS revenue FROM ({MV_SQL}) GROUP BY month ORDER BY month DESC LIMIT 12",
 )
 def _(v):
-    return reports.revenue_by_month(gold.monthly_revenue(v.transactions(), v.counterparties()))
+    return reports.revenue_by_month(monthly_revenue(v))
 
 
 @query(
@@ -328,7 +332,7 @@ def _(v):
         GROUP BY month ORDER BY month DESC LIMIT 12""",
 )
 def _(v):
-    return reports.revenue_by_month(gold.monthly_revenue(v.transactions(), v.counterparties()), currency="EUR")
+    return reports.revenue_by_month(monthly_revenue(v), currency="EUR")
 
 
 @query(

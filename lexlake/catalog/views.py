@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexlake.functions.keys import pipe_hash
+from lexlake.workspace import parts_for
 
 AS_OF = dt.date(2001, 6, 30)
 REGULATIONS_AS_OF = dt.date(2003, 1, 1)
@@ -53,10 +54,17 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = str(sf_dir).rstrip("/")
+        self._parts: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def parts(self, name: str) -> int:
+        """Partitions for shuffles of a table's rows."""
+        if name not in self._parts:
+            self._parts[name] = parts_for(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._parts[name]
+
     def rows(self, name: str) -> DataFrame:
         """A table in front of costly row work."""
         return self.table(name)
@@ -139,10 +147,13 @@ class Views:
 
     def transactions(self, heavy: bool = False) -> DataFrame:
         """Lines meet their orders as they are stored: hashes, references and labels are
-        worked out behind the join, so its shuffle does not carry them."""
+        worked out behind the join, so its shuffle does not carry them. Its partitions
+        follow the size of the table, so that a task sorts no more of a larger one."""
         lines = self.rows("lineitem") if heavy else self.table("lineitem")
         owner = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("counterparty_id"))
-        rows = self._lines(lines.join(owner, "l_orderkey"), "counterparty_id")
+        parts = self.parts("lineitem")
+        joined = lines.repartition(parts, "l_orderkey").join(owner.repartition(parts, "l_orderkey"), "l_orderkey")
+        rows = self._lines(joined, "counterparty_id")
         return rows.select("contract_id", *[c for c in rows.columns if c != "contract_id"])
 
     # --- documents and regulations ------------------------------------------------

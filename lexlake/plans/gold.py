@@ -1,9 +1,13 @@
 """Gold tables.
 
 Revenue tables add up transactions per key before they meet the dimension: sums
-combine on the map side, so the join sees one row per counterparty, month and
-currency instead of every transaction, and a counterparty that owns a third of
-all transactions is small by the time it is joined.
+are taken per counterparty, month and currency, so the join sees one row for these
+instead of every transaction, and a counterparty that owns a third of all
+transactions is spread over its months and small by the time it is joined.
+
+``parts`` is the number of partitions for shuffles of rows that are as many as the
+transactions (``workspace.parts_for`` gives it from the size of their table); without
+it the session's number holds, and sums combine on the map side.
 """
 
 from __future__ import annotations
@@ -24,9 +28,15 @@ def _revenue(transactions: DataFrame) -> DataFrame:
     return transactions.where(F.col("transaction_type").isin(*REVENUE_TYPES))
 
 
-def _partial(transactions: DataFrame, *keys: Column | str) -> DataFrame:
+def _dealt(rows: DataFrame, keys: list[str], parts: int | None) -> DataFrame:
+    """Rows of equal keys in one of ``parts`` partitions. Few rows are alike in a
+    revenue table's keys, so rows as they are take less room than sums of them."""
+    return rows.repartition(parts, *keys) if parts else rows
+
+
+def _partial(transactions: DataFrame, keys: list[str], parts: int | None) -> DataFrame:
     amount = F.col("amount")
-    return transactions.groupBy(*keys).agg(
+    return _dealt(transactions.select(*keys, "amount"), keys, parts).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(amount).cast(WIDE).alias("total"),
         F.min(amount).alias("low"),
@@ -34,9 +44,10 @@ def _partial(transactions: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
-def monthly_revenue(transactions: DataFrame, counterparties: DataFrame) -> DataFrame:
+def monthly_revenue(transactions: DataFrame, counterparties: DataFrame, parts: int | None = None) -> DataFrame:
     """Per counterparty name, month and currency, over the counterparty table."""
-    part = _partial(_revenue(transactions), "counterparty_id", month_start("transaction_date").alias("month"), "currency")
+    monthly = _revenue(transactions).withColumn("month", month_start("transaction_date"))
+    part = _partial(monthly, ["counterparty_id", "month", "currency"], parts).drop("low", "high")
     cp = counterparties.select(
         "counterparty_id",
         F.col("external_id").alias("counterparty_external_id"),
@@ -46,7 +57,7 @@ def monthly_revenue(transactions: DataFrame, counterparties: DataFrame) -> DataF
     joined = part.join(cp, "counterparty_id")
     keys = ["counterparty_external_id", "counterparty_name", "country_code", "month", "currency"]
     n, total = F.sum("n"), F.sum("total")
-    return joined.groupBy(*keys).agg(
+    return _dealt(joined, ["counterparty_external_id", "month", "currency"], parts).groupBy(*keys).agg(
         n.alias("transaction_count"),
         total.cast(MONEY).alias("total_amount"),
         mean_money(total, n).alias("avg_amount"),
@@ -57,13 +68,14 @@ def monthly_revenue_asof(
     transactions: DataFrame,
     counterparties: DataFrame,
     dim: DataFrame,
+    parts: int | None = None,
 ) -> DataFrame:
     """Same, with name and country as they were on the transaction date.
 
     A version is valid for whole days, so transactions are added up per day first;
     then at most one row per key, day and currency takes part in the as-of join.
     """
-    part = _partial(_revenue(transactions), "counterparty_id", "transaction_date", "currency")
+    part = _partial(_revenue(transactions), ["counterparty_id", "transaction_date", "currency"], parts)
     ids = counterparties.select("counterparty_id", "external_id")
     facts = part.join(ids, "counterparty_id").drop("counterparty_id")
     history = dim.select("external_id", F.col("name").alias("counterparty_name"), "country_code", "valid_from", "valid_to")
@@ -109,14 +121,16 @@ def active_regulations(regulations: DataFrame, documents: DataFrame, as_of: dt.d
     )
 
 
-def gold_monthly_revenue(stg_transactions: DataFrame, stg_counterparties: DataFrame) -> DataFrame:
+def gold_monthly_revenue(stg_transactions: DataFrame, stg_counterparties: DataFrame, parts: int | None = None) -> DataFrame:
     """Per counterparty, month and currency, with the amounts split by type; a type
     that does not occur is null."""
     typed = lambda t: F.sum(F.when(F.col("transaction_type") == t, F.col("amount"))).cast(MONEY)
     amount, n = F.col("amount"), F.count(F.lit(1))
+    keys = ["counterparty_id", "month", "currency"]
+    monthly = _revenue(stg_transactions).withColumn("month", month_start("transaction_date"))
     part = (
-        _revenue(stg_transactions)
-        .groupBy("counterparty_id", month_start("transaction_date").alias("month"), "currency")
+        _dealt(monthly.select(*keys, "transaction_type", "amount"), keys, parts)
+        .groupBy(*keys)
         .agg(
             n.alias("transaction_count"),
             F.sum(amount).cast(MONEY).alias("total_amount"),

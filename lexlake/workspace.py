@@ -11,6 +11,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of a stored table for one partition of a shuffle of its rows.
+PART_BYTES = 4 << 20
 
 _local_root: str | None = None
 
@@ -42,3 +46,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def parts_for(spark: SparkSession, path: str) -> int:
+    """Partitions for shuffles of a stored table's rows: by the bytes of its files, so that
+    what one task sorts or adds up stays the same as the table grows, whatever number the
+    session is set to; no fewer than run at a time. Files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))

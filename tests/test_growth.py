@@ -1,10 +1,15 @@
 """Work of loads, refreshes and joins that must not grow faster than their input."""
 
 import datetime as dt
+import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lexlake import workspace
+from lexlake.catalog.views import Views
 from lexlake.operators import summaries, tables
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -73,3 +78,35 @@ def test_lines_meet_their_orders_before_hashes_are_made(spark, sf_dir):
     plan = plan_of(entry.queries()["stg_transactions"](spark, sf_dir))
     above, below = plan.split("Join", 1)
     assert "sha2" in above and "sha2" not in below and "TXN-" not in below
+
+
+def exchanges(df):
+    """Numbers of partitions of the shuffles of a plan."""
+    return [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
+
+
+def test_partitions_follow_the_bytes_of_a_table(spark, tmp_path, monkeypatch):
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    spark.range(10).write.parquet(one)
+    spark.range(0, 200_000, 1, 4).write.parquet(many)
+    assert workspace.parts_for(spark, one) == spark.sparkContext.defaultParallelism
+    size = sum(os.path.getsize(os.path.join(many, f)) for f in os.listdir(many) if f.endswith(".parquet"))
+    monkeypatch.setattr(workspace, "PART_BYTES", 1000)
+    assert workspace.parts_for(spark, many) == -(-size // 1000)
+
+
+@pytest.mark.parametrize("name", ["mv_monthly_revenue"])
+def test_shuffles_of_revenue_follow_the_table_and_not_the_session(spark, sf_dir, monkeypatch, name):
+    def sorted_rows(df):
+        return sorted(map(str, df.collect()))
+
+    build = entry.queries()[name]
+    expected = sorted_rows(build(spark, sf_dir))
+    monkeypatch.setattr(Views, "parts", lambda self, table: 37)
+    for threshold, shuffles in (("10MB", 2), ("-1", 3)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            df = build(spark, sf_dir)
+            assert exchanges(df).count(37) >= shuffles and sorted_rows(df) == expected
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
