@@ -195,7 +195,7 @@ GOLD_SQL = f"""SELECT counterparty_id, c.name AS counterparty_name, c.country_co
 
 def gold_revenue(v):
     return gold.gold_monthly_revenue(
-        staging.stg_transactions(v.transactions(heavy=True)), staging.stg_counterparties(v.counterparties())
+        staging.stg_transactions(v.transactions(heavy=True)), staging.stg_counterparties(v.counterparties()), v.parts("lineitem")
     )
 
 

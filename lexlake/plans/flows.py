@@ -24,7 +24,7 @@ from lexlake.operators import dq, joins, keyed, partitions, scd2
 from lexlake.operators.validate import ERRORS, Contract, apply_contract, rejected_rows, settle, valid_rows
 from lexlake.plans import gold, staging
 from lexlake.sources import files, pages, sinks
-from lexlake.workspace import materialize
+from lexlake.workspace import materialize, parts_for
 
 DOCUMENT_KEY = ["source_system", "source_id", "document_date"]
 TRANSACTION_KEY = ["source_system", "reference", "transaction_date"]
@@ -368,13 +368,14 @@ def _load_transactions(
 def refresh_revenue(spark: SparkSession, zones: Zones) -> None:
     """Rebuild both Gold revenue tables, by today's names and by those of the day, as
     new versions."""
-    txn = staging.stg_transactions(_stored(spark, zones.path("silver", "transactions")))
+    silver = zones.path("silver", "transactions")
+    txn, parts = staging.stg_transactions(_stored(spark, silver)), parts_for(spark, silver)
     parties = partitions.read_current(spark, zones.path("silver", "counterparties"))
-    table = gold.gold_monthly_revenue(txn, staging.stg_counterparties(parties))
+    table = gold.gold_monthly_revenue(txn, staging.stg_counterparties(parties), parts)
     partitions.publish(table, zones.path("gold", "monthly_revenue_by_counterparty"))
     history = zones.path("silver", "dim_counterparty")
     if partitions.current_version(spark, history):
-        asof = gold.monthly_revenue_asof(txn, parties, partitions.read_current(spark, history))
+        asof = gold.monthly_revenue_asof(txn, parties, partitions.read_current(spark, history), parts)
         partitions.publish(asof, zones.path("gold", "monthly_revenue_asof"))
 
 

@@ -95,7 +95,7 @@ def test_partitions_follow_the_bytes_of_a_table(spark, tmp_path, monkeypatch):
     assert workspace.parts_for(spark, many) == -(-size // 1000)
 
 
-@pytest.mark.parametrize("name", ["mv_monthly_revenue", "revenue_by_month"])
+@pytest.mark.parametrize("name", ["mv_monthly_revenue", "revenue_by_month", "gold_monthly_revenue"])
 def test_shuffles_of_revenue_follow_the_table_and_not_the_session(spark, sf_dir, monkeypatch, name):
     def sorted_rows(df):
         return sorted(map(str, df.collect()))
