@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lexlake import workspace
 from lexlake.catalog.views import Views
-from lexlake.operators import summaries, tables
+from lexlake.operators import partitions, summaries, tables
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 KEYS = ["k", "p"]
@@ -110,3 +110,11 @@ def test_shuffles_of_revenue_follow_the_table_and_not_the_session(spark, sf_dir,
             assert exchanges(df).count(37) >= shuffles and sorted_rows(df) == expected
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_refreshed_gold_table_is_summed_in_partitions_by_the_table(spark, sf_dir, monkeypatch):
+    seen, publish = [], partitions.publish
+    monkeypatch.setattr(Views, "parts", lambda self, table: 37)
+    monkeypatch.setattr(partitions, "publish", lambda df, root: seen.append(exchanges(df).count(37)) or publish(df, root))
+    assert entry.queries()["gold_refresh"](spark, sf_dir).count() == entry.queries()["gold_monthly_revenue"](spark, sf_dir).count()
+    assert len(seen) == 2 and min(seen) >= 2
