@@ -166,7 +166,7 @@ def _(v):
         WHERE {REVENUE} GROUP BY ALL""",
 )
 def _(v):
-    return gold.monthly_revenue_asof(v.transactions(), v.counterparties(), v.dim_counterparty_named())
+    return gold.monthly_revenue_asof(v.transactions(), v.counterparties(), v.dim_counterparty_named(), v.parts("lineitem"))
 
 
 @query(

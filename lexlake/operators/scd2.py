@@ -137,5 +137,30 @@ def asof_join(facts: DataFrame, dim: DataFrame, key: str, day: str, how: str = "
     return joined.select(*[facts[c] for c in facts.columns], *[F.col("_version")[c].alias(c) for c in rest])
 
 
+def asof_merge(facts: DataFrame, dim: DataFrame, key: str, day: str, parts: int | None = None) -> DataFrame:
+    """``asof_join`` (inner) for facts that are few for a key and day, such as sums: they
+    are sorted among the starts of the versions themselves, in one shuffle by key, and the
+    result stays dealt by key, for sums that follow. ``parts`` is that shuffle's number of
+    partitions. All facts of a key meet in one task, so a key's rows must be bounded."""
+    rest = [c for c in dim.columns if c != key]
+    own = [c for c in facts.columns if c != key]
+    as_date = facts.schema[day].dataType
+    fact, version = F.struct(*[F.col(f"`{c}`") for c in own]), F.struct(*[F.col(f"`{c}`") for c in rest])
+    asked = facts.where(F.col(key).isNotNull()).select(
+        F.col(key), F.col(day).alias("_day"), F.lit(1).alias("_asked"), fact.alias("_fact"), F.lit(None).cast(version_type(dim, rest)).alias("_version")
+    )
+    starts = dim.select(
+        F.col(key), F.col("valid_from").cast(as_date).alias("_day"), F.lit(0).alias("_asked"), F.lit(None).cast(version_type(facts, own)).alias("_fact"), version.alias("_version")
+    )
+    marks = asked.unionByName(starts)
+    if parts:
+        marks = marks.repartition(parts, key)
+    w = W.partitionBy(key).orderBy("_day", "_asked").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = marks.withColumn("_version", F.last("_version", ignorenulls=True).over(w)).where("_asked = 1")
+    found = found.where(F.col("_day") <= F.col("_version.valid_to"))
+    columns = [F.col(key) if c == key else F.col("_fact")[c].alias(c) for c in facts.columns]
+    return found.select(*columns, *[F.col("_version")[c].alias(c) for c in rest])
+
+
 def version_type(dim: DataFrame, columns: list[str]):
     return dim.select(F.struct(*[F.col(c) for c in columns]).alias("v")).schema["v"].dataType

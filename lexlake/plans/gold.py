@@ -73,13 +73,14 @@ def monthly_revenue_asof(
     """Same, with name and country as they were on the transaction date.
 
     A version is valid for whole days, so transactions are added up per day first;
-    then at most one row per key, day and currency takes part in the as-of join.
+    then at most one row per key, day and currency is sorted among the versions of its
+    key. The sums stay in the partitions of that sort.
     """
     part = _partial(_revenue(transactions), ["counterparty_id", "transaction_date", "currency"], parts)
     ids = counterparties.select("counterparty_id", "external_id")
     facts = part.join(ids, "counterparty_id").drop("counterparty_id")
     history = dim.select("external_id", F.col("name").alias("counterparty_name"), "country_code", "valid_from", "valid_to")
-    joined = scd2.asof_join(facts, history, "external_id", "transaction_date")
+    joined = scd2.asof_merge(facts, history, "external_id", "transaction_date", parts)
     n, total = F.sum("n"), F.sum("total")
     return joined.groupBy(
         F.col("external_id").alias("counterparty_external_id"),

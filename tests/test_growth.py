@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lexlake import workspace
 from lexlake.catalog.views import Views
-from lexlake.operators import partitions, summaries, tables
+from lexlake.operators import partitions, scd2, summaries, tables
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 KEYS = ["k", "p"]
@@ -118,3 +118,30 @@ def test_a_refreshed_gold_table_is_summed_in_partitions_by_the_table(spark, sf_d
     monkeypatch.setattr(partitions, "publish", lambda df, root: seen.append(exchanges(df).count(37)) or publish(df, root))
     assert entry.queries()["gold_refresh"](spark, sf_dir).count() == entry.queries()["gold_monthly_revenue"](spark, sf_dir).count()
     assert len(seen) == 2 and min(seen) >= 2
+
+
+def test_history_of_revenue_is_sorted_once_among_its_versions(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(Views, "parts", lambda self, table: 37)
+    df = entry.queries()["mv_monthly_revenue_scd2"](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # sums by name take no shuffle of their own: lines, their sums per day, and the sort by key
+    assert "hashpartitioning(external_id" in plan and "counterparty_name" not in "".join(re.findall(r"hashpartitioning\([^)]*\)", plan))
+    assert exchanges(df).count(37) >= 3
+
+
+def test_sorted_among_versions_is_the_same_as_joined(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    facts = spark.createDataFrame(
+        [(None, day(5), 1), ("a", None, 2), ("a", day(1), 3), ("a", day(2), 4), ("a", day(2), 4), ("a", day(9), 5), ("a", day(20), 6), ("b", day(3), 7), ("c", day(3), 8)],
+        "k string, d date, v int",
+    )
+    dim = spark.createDataFrame(
+        [("a", "x", day(2), day(8)), ("a", None, day(9), day(12)), ("b", "y", day(4), scd2.OPEN_END), (None, "z", day(1), scd2.OPEN_END), ("d", "w", day(1), day(2))],
+        "k string, name string, valid_from date, valid_to date",
+    )
+    joined = scd2.asof_join(facts, dim, "k", "d")
+    for parts in (None, 3):
+        merged = scd2.asof_merge(facts, dim, "k", "d", parts)
+        assert merged.schema == joined.schema
+        assert sorted(map(str, merged.collect())) == sorted(map(str, joined.collect()))
+    assert sorted(r.v for r in merged.collect()) == [4, 4, 5]
