@@ -11,13 +11,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import LongType
 
-from lexlake.llm.common import fresh, running
+from lexlake.llm.common import fresh, map_texts, running
 from lexlake.workspace import materialize, new_dir
 
 #: Words in a block; shards of the output; weights by rank; how often a source may be repeated.
@@ -86,9 +84,20 @@ def permute(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@pandas_udf(LongType())
-def permuted(k: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-    return pd.Series(permute(k.to_numpy(), n.to_numpy(), key.to_numpy()))
+def permuted(drawn: DataFrame) -> DataFrame:
+    """(src, block, shard, draw) of rows that have k, n and key in place of the block. In
+    Arrow batches as all other Python work: functions of another kind, and tables made of
+    Python rows, get worker processes of their own, which stay beside the others."""
+
+    def make():
+        return lambda c: {"src": c["src"], "block": permute(*(c[x].to_numpy(zero_copy_only=False) for x in ("k", "n", "key"))), "shard": c["shard"], "draw": c["draw"]}
+
+    return map_texts(drawn, make, "src string, block long, shard int, draw long")
+
+
+def lines_of(spark, columns: dict[str, pa.Array]) -> DataFrame:
+    """A small table, made without Python workers."""
+    return spark.createDataFrame(pa.table(columns))
 
 
 class Mix:
@@ -106,24 +115,26 @@ class Mix:
         self.upto = counts.cumsum(axis=0).T.tolist()  # by source: the draws up to each shard
 
     def sources(self, spark) -> DataFrame:
-        lines = [(k, n, t) for k, n, t in zip(self.keys, self.sizes, self.targets, strict=True)]
-        return spark.createDataFrame(lines, "src string, source_size long, target double")
+        return lines_of(spark, {"src": pa.array(self.keys, pa.string()), "source_size": pa.array(self.sizes, pa.int64()), "target": pa.array(self.targets, pa.float64())})
 
     def slots(self, spark) -> DataFrame:
         """(src, block, shard, draw): every draw of every source."""
         ends = np.cumsum([0, *self.draws]).tolist()
         total = ends[-1]
-        lines = [
-            (i, k, ends[i], max(n, 1), (self.seed * 1_000_003 + i * 7919) & 0x7FFFFFFF, [int(x) for x in up])
-            for i, (k, n, up) in enumerate(zip(self.keys, self.blocks, self.upto, strict=True))
-        ]
-        table = spark.createDataFrame(lines, "i int, src string, first long, blocks long, key long, upto array<long>")
-        begins = F.array(*(F.lit(int(x)) for x in ends[1:])) if lines else F.array().cast("array<long>")
+        table = lines_of(spark, {
+            "i": pa.array(range(len(self.keys)), pa.int32()),
+            "src": pa.array(self.keys, pa.string()),
+            "first": pa.array(ends[:-1], pa.int64()),
+            "blocks": pa.array([max(n, 1) for n in self.blocks], pa.int64()),
+            "key": pa.array([(self.seed * 1_000_003 + i * 7919) & 0x7FFFFFFF for i in range(len(self.keys))], pa.int64()),
+            "upto": pa.array(self.upto, pa.list_(pa.int64())),
+        })
+        begins = F.array(*(F.lit(int(x)) for x in ends[1:])) if self.keys else F.array().cast("array<long>")
         all_draws = spark.range(total).withColumn("i", F.size(F.filter(begins, lambda e: e <= F.col("id"))))
         drawn = all_draws.join(F.broadcast(table), "i")  # one line per source
         drawn = drawn.withColumn("draw", F.col("id") - F.col("first"))
         shard = F.size(F.filter("upto", lambda e: e <= F.col("draw")))
-        return drawn.select("src", permuted(F.col("draw") % F.col("blocks"), "blocks", F.expr("key + draw div blocks")).alias("block"), shard.alias("shard"), "draw")
+        return permuted(drawn.select("src", F.expr("draw % blocks").alias("k"), F.col("blocks").alias("n"), F.expr("key + draw div blocks").alias("key"), shard.alias("shard"), "draw"))
 
 
 def word_count(text):
@@ -196,7 +207,7 @@ def mixed_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     name = fresh(docs.columns, "__shard")[0]
     rows = prepare(docs, id_col, text_col, source_col, carry=True)
     placed, pieces, mix = take(rows.drop("row"), seed, block, shards)
-    plan = docs.sparkSession.createDataFrame(list(zip(mix.keys, [max(n, 1) for n in mix.blocks], strict=True)), "src string, blocks long")
+    plan = lines_of(docs.sparkSession, {"src": pa.array(mix.keys, pa.string()), "blocks": pa.array([max(n, 1) for n in mix.blocks], pa.int64())})
     pieces = pieces.join(F.broadcast(plan), "src").withColumn("epoch", F.expr("draw div blocks"))  # one line per source
     lists = pieces.groupBy("src", "at", "shard", "epoch").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("pieces"))
     lists = lists.groupBy("src", "at").agg(F.collect_list(F.struct("shard", "pieces")).alias("pieces"))
