@@ -31,11 +31,13 @@ from lexlake.llm.common import map_texts, text_of
 BYTES, GROWTH, DECODED = 2_000_000, 6_000_000, 1_000_000
 #: Bytes that the segments a task remembers may take, and a database of its own beside; those of an executor's cores share DATABASES.
 REMEMBERED, DATABASES, DATABASE = 48 << 20, 400 << 20, 120 << 20
+#: Bytes that two strings and their places in a dictionary take besides their letters.
+TAKES = 220
 #: Pieces up to so many bytes are contracted one pair a round.
 SHORT = 40
-#: Where a piece always begins, whatever lies around: at a blank in front of other than white
-#: space, and at a stop or comma behind a letter or number.
-CUT = re.compile(r"(?= \S)|(?<=[^\W_])(?=[.,])")
+#: From one place to the next where a piece always begins, whatever lies around: at a blank in
+#: front of other than white space, and at a stop or comma behind a letter or number.
+CUT = re.compile(r"[\s\S](?:[^ .,]+|(?<![^\W_])[.,]| (?!\S))*")
 
 SHORT_STEPS = """
 WITH RECURSIVE step(w, toks, round) AS (
@@ -182,8 +184,7 @@ class Encoder:
             part = segments[at:end]
             found = self.contract([self.pieces.findall(s) for s in part])["ids"].to_pylist()
             self.ids.update(zip(part, found, strict=True))
-            # with what two strings and their places in a dictionary take
-            self.held += sum(map(len, part)) + sum(map(len, found)) + 220 * len(part)
+            self.held += sum(map(len, part)) + sum(map(len, found)) + TAKES * len(part)
             at = end
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
@@ -211,14 +212,13 @@ class Encoder:
         return list(zip(joined, self.decode([as_ids(j) for j in joined]), strict=True))
 
     def join_ids(self, texts: list[str]) -> list[str]:
+        cut = [CUT.findall(t) for t in texts]
+        met = set().union(*cut)
         if self.held > REMEMBERED:
-            self.ids.clear()
-            self.held = 0
-        cut = [CUT.split(t) for t in texts]
-        for c in cut:
-            if not c[0]:  # an empty text, or one that begins with the blank of a word
-                del c[0]
-        self.learn(sorted(s for s in set().union(*cut) if s not in self.ids))
+            # what is met again stays, mostly words that are frequent
+            self.ids = {s: i for s, i in self.ids.items() if s in met}
+            self.held = sum(map(len, self.ids)) + sum(map(len, self.ids.values())) + TAKES * len(self.ids)
+        self.learn(sorted(s for s in met if s not in self.ids))
         ids = self.ids.__getitem__
         return [" ".join(map(ids, c)) for c in cut]
 
